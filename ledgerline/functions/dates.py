@@ -64,8 +64,11 @@ def next_workday(c: Column | str) -> Column:
 
 
 def cash_date() -> Column:
-    """Date on which a title hits the cash: payment when settled, else forecast, else due."""
-    paid = F.upper(F.coalesce(F.col("status"), F.lit(""))).isin(*K.SETTLED)
+    """Date on which a title hits the cash: payment when settled, else forecast, else due.
+
+    Ledger statuses are upper case already (see ``text.status_code``).
+    """
+    paid = F.col("status").isin(*K.SETTLED)
     return F.when(paid & F.col("data_pagamento").isNotNull(), F.col("data_pagamento")).otherwise(
         F.coalesce(F.col("data_previsao"), F.col("data_vencimento"))
     )

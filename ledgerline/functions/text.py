@@ -53,11 +53,18 @@ def modality_or_flag(stored: Column | str, is_direct: Column | str) -> Column:
     return F.coalesce(F.nullif(as_col(stored), F.lit("")), modality(F.coalesce(as_col(is_direct), F.lit(False))))
 
 
+def pick(c: Column | str, mapping: dict) -> Column:
+    """Value of a short constant mapping; NULL for unknown keys. A CASE compiles better than a map lookup."""
+    c = as_col(c)
+    out = F
+    for k, v in mapping.items():
+        out = out.when(c == F.lit(k), F.lit(v))
+    return out.otherwise(F.lit(None))
+
+
 def from_map(c: Column | str, mapping: dict[str, str]) -> Column:
     """Label of a code; unknown codes pass through."""
-    c = as_col(c)
-    literal = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(F.try_element_at(literal, c), c)
+    return F.coalesce(pick(c, mapping), as_col(c))
 
 
 def order_stage(c: Column | str) -> Column:

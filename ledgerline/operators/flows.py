@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
 from ledgerline.functions import text as T
-from ledgerline.functions.money import money_diff, money_sum, ratio, round_cents
+from ledgerline.functions.money import (
+    cell_count,
+    cell_diff,
+    cell_sum,
+    cells,
+    cents,
+    money_sum,
+    ratio,
+    round_cents,
+)
 from ledgerline.operators.rows import inflow, outflow, overdue, realised, status_in
 
 
@@ -22,13 +31,27 @@ def in_out() -> list[Column]:
     return [money_sum("valor", inflow()).alias("entrada"), money_sum("valor", outflow()).alias("saida")]
 
 
-def in_out_split() -> list[Column]:
+def in_out_cells() -> list[Column]:
+    """``in_out`` over ``cells`` that keep the side."""
+    return [cell_sum(inflow()).alias("entrada"), cell_sum(outflow()).alias("saida")]
+
+
+def with_split(rows: DataFrame) -> DataFrame:
+    """Cents and the two flags of the SK/FD split, computed once per row."""
     fd = F.coalesce(F.col("is_faturamento_direto"), F.lit(False))
-    return in_out() + [
-        money_sum("valor", inflow() & ~fd).alias("ent_sk"),
-        money_sum("valor", inflow() & fd).alias("ent_fd"),
-        money_sum("valor", outflow() & ~fd).alias("sai_sk"),
-        money_sum("valor", outflow() & fd).alias("sai_fd"),
+    return rows.withColumns({"_c": cents("valor"), "_in": inflow(), "_fd": fd})
+
+
+def in_out_split() -> list[Column]:
+    """Six sums over ``with_split``."""
+    fd, i = F.col("_fd"), F.col("_in")
+    return [
+        cell_sum(i).alias("entrada"),
+        cell_sum(~i).alias("saida"),
+        cell_sum(i & ~fd).alias("ent_sk"),
+        cell_sum(i & fd).alias("ent_fd"),
+        cell_sum(~i & ~fd).alias("sai_sk"),
+        cell_sum(~i & fd).alias("sai_fd"),
     ]
 
 
@@ -44,18 +67,18 @@ def by_month_key(rows: DataFrame, date_col: str, *aggs: Column, keys: tuple[str,
 
 def period_kpis(rows: DataFrame) -> DataFrame:
     """One row of period totals: realised, open, overdue and to-mature per side."""
-    g = rows.agg(
-        *in_out(),
-        money_sum("valor", inflow() & realised()).alias("recebido"),
-        money_sum("valor", outflow() & realised()).alias("pago"),
-        money_sum("valor", inflow() & ~realised()).alias("a_receber"),
-        money_sum("valor", outflow() & ~realised()).alias("a_pagar"),
-        money_sum("valor", inflow() & overdue()).alias("vencido_receber"),
-        money_sum("valor", outflow() & overdue()).alias("vencido_pagar"),
-        money_sum("valor", inflow() & status_in(K.TO_MATURE)).alias("a_vencer_receber"),
-        money_sum("valor", outflow() & status_in(K.TO_MATURE)).alias("a_vencer_pagar"),
-        F.count_if(inflow()).alias("qtd_entradas"),
-        F.count_if(outflow()).alias("qtd_saidas"),
+    g = cells(rows, "tipo", "status").agg(
+        *in_out_cells(),
+        cell_sum(inflow() & realised()).alias("recebido"),
+        cell_sum(outflow() & realised()).alias("pago"),
+        cell_sum(inflow() & ~realised()).alias("a_receber"),
+        cell_sum(outflow() & ~realised()).alias("a_pagar"),
+        cell_sum(inflow() & overdue()).alias("vencido_receber"),
+        cell_sum(outflow() & overdue()).alias("vencido_pagar"),
+        cell_sum(inflow() & status_in(K.TO_MATURE)).alias("a_vencer_receber"),
+        cell_sum(outflow() & status_in(K.TO_MATURE)).alias("a_vencer_pagar"),
+        cell_count(inflow()).alias("qtd_entradas"),
+        cell_count(outflow()).alias("qtd_saidas"),
     )
     return g.select(
         "*",
@@ -68,19 +91,21 @@ def period_kpis(rows: DataFrame) -> DataFrame:
 
 def accrual_kpis(accrual: DataFrame, cash: DataFrame) -> DataFrame:
     """Accrual totals; open and overdue amounts still come from the cash rows, which keep overdue titles."""
-    zero = F.lit(False)
-    part = lambda df, is_accrual: df.select("tipo", "valor", "status", F.lit(is_accrual).alias("_acc"))
+    part = lambda df, is_accrual: cells(df, "tipo", "status").withColumn("_acc", F.lit(is_accrual))
     acc = F.col("_acc")
-    both = part(accrual, True).unionByName(part(cash, False))
-    g = both.agg(
-        money_sum("valor", acc & inflow()).alias("entrada"),
-        money_sum("valor", acc & outflow()).alias("saida"),
-        F.count_if(F.coalesce(acc & inflow(), zero)).alias("qtd_entradas"),
-        F.count_if(F.coalesce(acc & outflow(), zero)).alias("qtd_saidas"),
-        money_sum("valor", ~acc & inflow() & ~realised()).alias("a_receber"),
-        money_sum("valor", ~acc & outflow() & ~realised()).alias("a_pagar"),
-        money_sum("valor", ~acc & inflow() & overdue()).alias("vencido_receber"),
-        money_sum("valor", ~acc & outflow() & overdue()).alias("vencido_pagar"),
+    g = (
+        part(accrual, True)
+        .unionByName(part(cash, False))
+        .agg(
+            cell_sum(acc & inflow()).alias("entrada"),
+            cell_sum(acc & outflow()).alias("saida"),
+            cell_count(acc & inflow()).alias("qtd_entradas"),
+            cell_count(acc & outflow()).alias("qtd_saidas"),
+            cell_sum(~acc & inflow() & ~realised()).alias("a_receber"),
+            cell_sum(~acc & outflow() & ~realised()).alias("a_pagar"),
+            cell_sum(~acc & inflow() & overdue()).alias("vencido_receber"),
+            cell_sum(~acc & outflow() & overdue()).alias("vencido_pagar"),
+        )
     )
     return g.withColumn("resultado", result())
 
@@ -102,7 +127,7 @@ def in_out_by_category(rows: DataFrame) -> DataFrame:
 def in_out_by_project(rows: DataFrame) -> DataFrame:
     """Per project with the SK/FD split; rows without a project are left out."""
     return (
-        rows.filter(F.col("projeto_id").isNotNull() & (F.col("projeto_id") != 0))
+        with_split(rows.filter(F.col("projeto_id").isNotNull() & (F.col("projeto_id") != 0)))
         .groupBy("projeto_id")
         .agg(F.min("projeto_nome").alias("projeto_nome"), *in_out_split())
     )
@@ -132,36 +157,39 @@ def totals_by_group(rows: DataFrame, categories: DataFrame) -> DataFrame:
     return group_names(g, categories).select("tipo", "grupo", "nome", "valor")
 
 
-def outflow_group_months(rows: DataFrame, date_col: str = "data") -> DataFrame:
-    """grupo, mes, valor of the outflow."""
-    out = rows.filter(outflow()).withColumn("grupo", T.category_group("categoria_codigo")).filter("grupo IS NOT NULL")
-    return by_month_key(out, date_col, money_sum("valor").alias("valor"), keys=("grupo",))
+def group_month_cells(rows: DataFrame, date_col: str) -> DataFrame:
+    """Side x category group x month in cents; the month is still a DATE ``_m``."""
+    return cells(rows, "tipo", T.category_group("categoria_codigo").alias("grupo"), D.month_start(date_col).alias("_m"))
+
+
+def months_of_cells(g: DataFrame) -> DataFrame:
+    """mes, receita, saida out of ``group_month_cells``."""
+    m = g.groupBy("_m").agg(cell_sum(inflow()).alias("receita"), cell_sum(outflow()).alias("saida"))
+    return m.select(D.month_text("_m").alias("mes"), "receita", "saida")
+
+
+def outflow_of_cells(g: DataFrame) -> DataFrame:
+    """grupo, mes, valor of the outflow out of ``group_month_cells``."""
+    out = g.filter(outflow() & F.col("grupo").isNotNull())
+    return out.select("grupo", D.month_text("_m").alias("mes"), (F.col("_c") / F.lit(100.0)).alias("valor"))
 
 
 def group_month_matrix(rows: DataFrame, categories: DataFrame, date_col: str = "data") -> DataFrame:
     """Outflow per group and month with the group total, its rank and the month's revenue and outflow."""
-    cells = outflow_group_months(rows, date_col)
-    per_group = Window.partitionBy("grupo")
-    total = round_cents(F.sum("valor").over(per_group))
-    cells = cells.withColumn("total_grupo", total)
-    ranks = (
-        cells.groupBy("grupo")
-        .agg(F.max("total_grupo").alias("_t"))
-        .withColumn("ordem", F.row_number().over(Window.orderBy(F.desc("_t"), "grupo")))
-        .select("grupo", "ordem")
-    )
-    months = by_month_key(rows, date_col, *in_out()).select(
-        "mes", F.col("entrada").alias("receita_mes"), F.col("saida").alias("saida_mes")
-    )
-    return group_names(cells.join(ranks, "grupo").join(months, "mes"), categories).select(
-        "grupo", "nome", "mes", "valor", "total_grupo", F.col("ordem").cast("long").alias("ordem"),
-        "receita_mes", "saida_mes",
+    g = group_month_cells(rows, date_col)
+    total = round_cents(F.sum("valor").over(Window.partitionBy("grupo")))
+    grid = outflow_of_cells(g).withColumn("total_grupo", total)
+    # few groups: dense rank over (total, code) numbers them 1, 2, ...
+    order = F.dense_rank().over(Window.orderBy(F.desc("total_grupo"), "grupo"))
+    months = months_of_cells(g).select("mes", F.col("receita").alias("receita_mes"), F.col("saida").alias("saida_mes"))
+    return group_names(grid.withColumn("ordem", order.cast("long")).join(months, "mes"), categories).select(
+        "grupo", "nome", "mes", "valor", "total_grupo", "ordem", "receita_mes", "saida_mes"
     )
 
 
 def modality_by_month(rows: DataFrame, date_col: str = "data") -> DataFrame:
     """Monthly inflow and outflow split into SK and FD."""
-    return by_month_key(rows, date_col, *in_out_split()[2:])
+    return by_month_key(with_split(rows), date_col, *in_out_split()[2:])
 
 
 def modality_totals(ledger: DataFrame, date_col: str = "data_pagamento") -> DataFrame:
@@ -225,18 +253,18 @@ def cash_flow_table(rows: DataFrame, categories: DataFrame) -> DataFrame:
     ``nivel``: 0 category, 1 group, 2 total.
     """
     code = T.or_default("categoria_codigo", K.NOT_INFORMED)
-    base = rows.select(
-        F.substring_index(code, ".", 2).alias("grupo"), code.alias("categoria"), "categoria_nome",
-        "tipo", "valor", "status",
+    base = cells(
+        rows, F.substring_index(code, ".", 2).alias("grupo"), code.alias("categoria"), "categoria_nome", "tipo",
+        realised().alias("_done"),
     )
-    done = realised()
+    done = F.col("_done")
     g = base.rollup("grupo", "categoria").agg(
         F.grouping_id().alias("_g"),
         F.min("categoria_nome").alias("_nome"),
-        *in_out(),
-        money_diff("valor", inflow() & done, outflow() & done).alias("realizado"),
-        money_diff("valor", inflow() & ~done, outflow() & ~done).alias("a_realizar"),
-        money_diff("valor", inflow(), outflow()).alias("total"),
+        *in_out_cells(),
+        cell_diff(inflow() & done, outflow() & done).alias("realizado"),
+        cell_diff(inflow() & ~done, outflow() & ~done).alias("a_realizar"),
+        cell_diff(inflow(), outflow()).alias("total"),
     )
     g = g.filter((F.col("_g") == 3) | (F.col("entrada") != 0) | (F.col("saida") != 0))
     names = categories.select(F.col("codigo").alias("grupo"), F.col("nome").alias("_grupo"))
@@ -254,13 +282,11 @@ def cash_flow_table(rows: DataFrame, categories: DataFrame) -> DataFrame:
 def cash_flow_cube(rows: DataFrame, date_col: str = "data") -> DataFrame:
     """Net flow per group and month with both totals ('TOTAL' on either axis)."""
     code = T.or_default("categoria_codigo", K.NOT_INFORMED)
-    base = rows.select(
-        F.substring_index(code, ".", 2).alias("grupo"), D.month_start(date_col).alias("_m"), "tipo", "valor"
-    )
+    base = cells(rows, F.substring_index(code, ".", 2).alias("grupo"), D.month_start(date_col).alias("_m"), "tipo")
     g = base.cube("grupo", "_m").agg(
         F.grouping("grupo").alias("_gg"),
         F.grouping("_m").alias("_gm"),
-        money_diff("valor", inflow(), outflow()).alias("saldo"),
+        cell_diff(inflow(), outflow()).alias("saldo"),
     )
     total = F.lit("TOTAL")
     return g.select(

@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
 from ledgerline.functions import text as T
-from ledgerline.functions.money import money_sum, ratio, round_cents
-from ledgerline.operators.flows import by_month_key, in_out, outflow_group_months, result
+from ledgerline.functions.money import cell_count, cell_sum, cells, money_sum, ratio
+from ledgerline.operators.flows import (
+    by_month_key,
+    group_month_cells,
+    in_out,
+    in_out_cells,
+    months_of_cells,
+    outflow_of_cells,
+    result,
+)
 from ledgerline.operators.rows import inflow, outflow, overdue, realised, status_in
 
 
@@ -19,17 +27,18 @@ def bucket(group: Column, direct: str = K.DIRECT_COST_GROUP, sga=K.SGA_GROUPS) -
 
 def cost_buckets(rows: DataFrame) -> DataFrame:
     """Direct cost, SG&A, other cost and revenue, each realised and open."""
-    kind = F.when(inflow(), "receita").otherwise(bucket(T.category_group("categoria_codigo")))
-    return rows.groupBy(kind.alias("tipo_custo")).agg(
-        money_sum("valor", realised()).alias("realizado"), money_sum("valor", ~realised()).alias("em_aberto")
+    kind = F.when(inflow(), "receita").otherwise(bucket(F.col("grupo")))
+    g = cells(rows, "tipo", T.category_group("categoria_codigo").alias("grupo"), realised().alias("_done"))
+    done = F.col("_done")
+    return g.groupBy(kind.alias("tipo_custo")).agg(
+        cell_sum(done).alias("realizado"), cell_sum(~done).alias("em_aberto")
     )
 
 
 def maturity_split(rows: DataFrame) -> DataFrame:
     """To-mature against overdue per side."""
-    return rows.groupBy("tipo").agg(
-        money_sum("valor", status_in(K.TO_MATURE)).alias("a_vencer"),
-        money_sum("valor", overdue()).alias("atrasado"),
+    return cells(rows, "tipo", "status").groupBy("tipo").agg(
+        cell_sum(status_in(K.TO_MATURE)).alias("a_vencer"), cell_sum(overdue()).alias("atrasado")
     )
 
 
@@ -38,18 +47,17 @@ def financial_kpis(rows: DataFrame, top: int = 2) -> DataFrame:
 
     One aggregation by (side, group) carries everything; the rest works on its few rows.
     """
-    g = rows.groupBy("tipo", T.category_group("categoria_codigo").alias("grupo")).agg(
-        money_sum("valor").alias("valor"), F.count(F.lit(1)).alias("qtd")
-    )
+    g = cells(rows, "tipo", T.category_group("categoria_codigo").alias("grupo"))
+    g = g.withColumn("valor", F.col("_c") / F.lit(100.0))
     group_value = F.when(outflow() & F.col("grupo").isNotNull(), F.struct("valor", "grupo"))
     # sort: largest value first, then the lower code
     order = lambda a, b: (
         F.when(a.valor > b.valor, -1).when(a.valor < b.valor, 1).when(a.grupo < b.grupo, -1).otherwise(1)
     )
     one = g.agg(
-        *in_out(),
-        F.coalesce(F.sum(F.when(inflow(), F.col("qtd"))), F.lit(0)).alias("qtd_entradas"),
-        F.coalesce(F.sum(F.when(outflow(), F.col("qtd"))), F.lit(0)).alias("qtd_saidas"),
+        *in_out_cells(),
+        cell_count(inflow()).alias("qtd_entradas"),
+        cell_count(outflow()).alias("qtd_saidas"),
         F.array_sort(F.collect_list(group_value), order).alias("_groups"),
     )
     cols = [
@@ -70,22 +78,22 @@ def financial_kpis(rows: DataFrame, top: int = 2) -> DataFrame:
     return one.select(*cols)
 
 
-def _other_groups(cells: DataFrame, k: int) -> DataFrame:
+def _other_groups(grid: DataFrame, k: int) -> DataFrame:
     """The k largest groups that are neither direct cost nor SG&A."""
-    others = cells.filter(~F.col("grupo").isin(K.DIRECT_COST_GROUP, *K.SGA_GROUPS))
+    others = grid.filter(~F.col("grupo").isin(K.DIRECT_COST_GROUP, *K.SGA_GROUPS))
     return (
         others.groupBy("grupo").agg(money_sum("valor").alias("_t")).orderBy(F.desc("_t"), "grupo").limit(k).select("grupo")
     )
 
 
-def _cost_series(cells: DataFrame, k: int, direct: bool) -> DataFrame:
+def _cost_series(grid: DataFrame, k: int, direct: bool) -> DataFrame:
     """serie, mes, valor: SG&A together, the top other groups by code, direct cost if wanted."""
     kind = bucket(F.col("grupo"))
-    fixed = cells.withColumn("serie", kind).filter(F.col("serie") != "outros")
+    fixed = grid.withColumn("serie", kind).filter(F.col("serie") != "outros")
     if not direct:
         fixed = fixed.filter(F.col("serie") != "direto")
     fixed = fixed.groupBy("serie", "mes").agg(money_sum("valor").alias("valor"))
-    others = cells.join(F.broadcast(_other_groups(cells, k)), "grupo", "left_semi").select(
+    others = grid.join(F.broadcast(_other_groups(grid, k)), "grupo", "left_semi").select(
         F.col("grupo").alias("serie"), "mes", "valor"
     )
     return fixed.unionByName(others)
@@ -93,16 +101,17 @@ def _cost_series(cells: DataFrame, k: int, direct: bool) -> DataFrame:
 
 def monthly_cost_mix(rows: DataFrame, date_col: str = "data_vencimento", k: int = 4) -> DataFrame:
     """Revenue, direct cost, SG&A and the top other groups by month (long form)."""
-    revenue = by_month_key(rows.filter(inflow()), date_col, money_sum("valor").alias("valor")).select(
-        F.lit("receita").alias("serie"), "mes", "valor"
-    )
-    return revenue.unionByName(_cost_series(outflow_group_months(rows, date_col), k, direct=True))
+    g = group_month_cells(rows, date_col)
+    months = months_of_cells(g.filter(inflow()))
+    revenue = months.select(F.lit("receita").alias("serie"), "mes", F.col("receita").alias("valor"))
+    return revenue.unionByName(_cost_series(outflow_of_cells(g), k, direct=True))
 
 
 def cost_pct_of_revenue(rows: DataFrame, date_col: str = "data_vencimento", k: int = 5) -> DataFrame:
     """SG&A and other groups as percent of the month's revenue; 0 where there is none."""
-    months = by_month_key(rows, date_col, *in_out()).select("mes", F.col("entrada").alias("receita"))
-    series = _cost_series(outflow_group_months(rows, date_col), k, direct=False)
+    g = group_month_cells(rows, date_col)
+    months = months_of_cells(g).select("mes", "receita")
+    series = _cost_series(outflow_of_cells(g), k, direct=False)
     pct = F.when(F.col("receita") > 0, ratio(F.col("valor"), F.col("receita"), 2, 100.0)).otherwise(F.lit(0.0))
     return series.join(months, "mes").select("serie", "mes", pct.alias("pct"))
 
@@ -117,15 +126,12 @@ def month_group_table(rows: DataFrame, groups: list[str], date_col: str = "data_
 
     As in the printed table, the result subtracts the listed groups only.
     """
-    base = rows.select(
-        D.month_start(date_col).alias("_m"), T.category_group("categoria_codigo").alias("grupo"), "tipo", "valor"
-    )
     col = lambda g: "g_" + g.replace(".", "_")
-    t = base.rollup("_m").agg(
+    t = group_month_cells(rows, date_col).rollup("_m").agg(
         F.grouping("_m").alias("_g"),
-        money_sum("valor", inflow()).alias("receita"),
-        *[money_sum("valor", outflow() & (F.col("grupo") == g)).alias(col(g)) for g in groups],
-        money_sum("valor", outflow() & F.col("grupo").isin(*groups)).alias("_desp"),
+        cell_sum(inflow()).alias("receita"),
+        *[cell_sum(outflow() & (F.col("grupo") == g)).alias(col(g)) for g in groups],
+        cell_sum(outflow() & F.col("grupo").isin(*groups)).alias("_desp"),
     )
     res = result("receita", "_desp")
     return t.select(

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
-from ledgerline.functions.money import money_sum, ratio, round_cents
+from ledgerline.functions.money import cell_sum, cells, money_sum, ratio, round_cents
 from ledgerline.operators.balances import month_totals
-from ledgerline.operators.flows import in_out
+from ledgerline.operators.flows import in_out_cells
 from ledgerline.operators.rows import inflow, overdue, with_cash_date
 from ledgerline.operators.terms import pct_band
 
@@ -33,18 +33,25 @@ def _inside(day: Column, de, ate) -> Column:
 
 
 def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
-    """regime, mes, entrada, saida, vencido_receber."""
+    """regime, mes, entrada, saida, vencido_receber.
+
+    Titles are first reduced to cells of (cash month, due month, side, overdue);
+    only these few cells are counted twice, once per regime.
+    """
     due = F.col("data_vencimento")
-    tag = lambda name, day: F.struct(F.lit(name).alias("regime"), D.month_start(day).alias("_m"))
-    hits = F.array_compact(
-        F.array(
-            F.when(_inside(F.col("data"), de, ate), tag(CASH, "data")),
-            F.when(_inside(due, de, ate) & ~overdue(), tag(ACCRUAL, "data_vencimento")),
-        )
+    g = cells(
+        with_cash_date(ledger),
+        F.when(_inside(F.col("data"), de, ate), D.month_start("data")).alias("_cash"),
+        F.when(_inside(due, de, ate) & ~overdue(), D.month_start(due)).alias("_acc"),
+        "tipo",
+        overdue().alias("_late"),
     )
-    rows = with_cash_date(ledger).select("tipo", "valor", "status", F.explode(hits).alias("_h"))
-    g = rows.groupBy(F.col("_h.regime").alias("regime"), F.col("_h._m").alias("_m")).agg(
-        *in_out(), money_sum("valor", inflow() & overdue()).alias("vencido_receber")
+    tag = lambda name, m: F.struct(F.lit(name).alias("regime"), F.col(m).alias("_m"))
+    both = g.select("*", F.explode(F.array(tag(CASH, "_cash"), tag(ACCRUAL, "_acc"))).alias("_h"))
+    g = (
+        both.filter("_h._m IS NOT NULL")
+        .groupBy(F.col("_h.regime").alias("regime"), F.col("_h._m").alias("_m"))
+        .agg(*in_out_cells(), cell_sum(inflow() & F.col("_late")).alias("vencido_receber"))
     )
     return g.select("regime", D.month_text("_m").alias("mes"), "entrada", "saida", "vencido_receber")
 

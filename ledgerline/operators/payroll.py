@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
 from ledgerline.functions import payroll as P
-from ledgerline.functions.money import money_sum, ratio, to_number
+from ledgerline.functions.money import cell_sum, cents, money_sum, ratio, to_number
 
 FIRST_MONTH_COL = 2
 SUMMARY_SHEET, CASH_SHEET = "RESUMO", "FLUXO DE CAIXA"
@@ -197,15 +197,21 @@ def fill_missing_months(cells: DataFrame, calendar: DataFrame, key: list[str] |
 def demographics(sheet: DataFrame) -> DataFrame:
     """Mean age and tenure, headcount and cost per head by month and department; 'EMPRESA' is the whole month."""
     rows = sheet.filter((F.coalesce("departamento", F.lit("")) != "") & F.col("idade").try_cast("double").isNotNull())
-    n = F.count(F.lit(1))
-    mean = lambda c, d: F.round(F.sum(to_number(c)) / n, d)
-    g = rows.withColumn("_custo", to_number("custo_total")).rollup("mes", "departamento").agg(
+    parts = rows.groupBy("mes", "departamento").agg(
+        F.sum(to_number("idade")).alias("_idade"),
+        F.sum(to_number("tempo_casa")).alias("_casa"),
+        F.sum(cents(to_number("custo_total"))).alias("_c"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    n = F.sum("_n")
+    mean = lambda c: F.round(F.sum(c) / n, 1)
+    g = parts.rollup("mes", "departamento").agg(
         F.grouping("mes").alias("_gm"),
         F.grouping("departamento").alias("_gd"),
-        mean("idade", 1).alias("idade_media"),
-        mean("tempo_casa", 1).alias("tempo_casa_medio"),
+        mean("_idade").alias("idade_media"),
+        mean("_casa").alias("tempo_casa_medio"),
         n.alias("hc"),
-        F.round(money_sum("_custo") / n, 2).alias("custo_per_capita"),
+        F.round(cell_sum() / n, 2).alias("custo_per_capita"),
     )
     return g.filter("_gm = 0").select(
         "mes",
@@ -228,12 +234,18 @@ def salary_bands(sheet: DataFrame, rules=K.LEVEL_RULES, default: str = K.DEFAULT
     )
     last = rows.agg(F.max("mes").alias("m")).scalar()
     rows = rows.filter(F.col("mes") == last)
-    sets = rows.groupingSets([["cargo"], ["nivel"], ["area"]], "cargo", "nivel", "area").agg(
+    parts = rows.groupBy("cargo", "nivel", "area").agg(
+        F.min("salario").alias("_min"),
+        F.max("salario").alias("_max"),
+        F.sum(cents("salario")).alias("_c"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    sets = parts.groupingSets([["cargo"], ["nivel"], ["area"]], "cargo", "nivel", "area").agg(
         F.grouping_id().alias("_g"),
-        F.min("salario").alias("minimo"),
-        money_sum("salario").alias("_soma"),
-        F.max("salario").alias("maximo"),
-        F.count(F.lit(1)).alias("qtd"),
+        F.min("_min").alias("minimo"),
+        cell_sum().alias("_soma"),
+        F.max("_max").alias("maximo"),
+        F.sum("_n").alias("qtd"),
     )
     kind = F.when(F.col("_g") == 3, "cargo").when(F.col("_g") == 5, "nivel").otherwise("area")
     out = sets.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
+
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
 from ledgerline.functions import text as T
-from ledgerline.functions.money import money_diff, money_sum, round_cents
+from ledgerline.functions.money import cell_count, cell_sum, cells, money_diff, money_sum, round_cents
 from ledgerline.operators.flows import by_month_key, in_out
 from ledgerline.operators.rows import inflow, outflow, overdue, status_in
 
@@ -61,13 +61,13 @@ def settled_summary(ledger: DataFrame, as_of, months: int = 6) -> DataFrame:
 def open_totals(ledger: DataFrame) -> DataFrame:
     """Open titles per side: total, count, overdue total and count."""
     return (
-        ledger.filter(status_in(K.OPEN))
+        cells(ledger.filter(status_in(K.OPEN)), "tipo", "status")
         .groupBy("tipo")
         .agg(
-            money_sum("valor").alias("total"),
-            _n(),
-            money_sum("valor", overdue()).alias("atrasado"),
-            F.count_if(overdue()).alias("qtd_atrasado"),
+            cell_sum().alias("total"),
+            cell_count().alias("qtd"),
+            cell_sum(overdue()).alias("atrasado"),
+            cell_count(overdue()).alias("qtd_atrasado"),
         )
     )
 
@@ -247,7 +247,7 @@ def clients_that_paid(ledger: DataFrame, as_of) -> DataFrame:
 
 def month_digest(ledger: DataFrame, balances: DataFrame, as_of) -> DataFrame:
     """Received, paid, open, overdue and balance as (indicador, valor). One scan of the ledger."""
-    month = _in_month("data_pagamento", as_of)
+    month = F.col("_month")
     measures = {
         "recebido": inflow() & status_in([K.RECEIVED]) & month,
         "pago": outflow() & status_in([K.PAID_OUT]) & month,
@@ -256,7 +256,8 @@ def month_digest(ledger: DataFrame, balances: DataFrame, as_of) -> DataFrame:
         "receber_atrasado": inflow() & overdue(),
         "pagar_atrasado": outflow() & overdue(),
     }
-    wide = ledger.agg(*[money_sum("valor", cond).alias(name) for name, cond in measures.items()])
+    g = cells(ledger, "tipo", "status", F.coalesce(_in_month("data_pagamento", as_of), F.lit(False)).alias("_month"))
+    wide = g.agg(*[cell_sum(cond).alias(name) for name, cond in measures.items()])
     long = wide.unpivot([], list(measures), "indicador", "valor")
     return long.unionByName(balances.agg(money_sum("saldo").alias("valor")).select(F.lit("saldo").alias("indicador"), "valor"))
 

@@ -41,7 +41,7 @@ def _between(df: DataFrame, col: str, de, ate) -> DataFrame:
         df = df.filter(F.col(col) >= D.date_lit(de))
     if ate is not None:
         df = df.filter(F.col(col) <= D.date_lit(ate))
-    return df.filter(F.col(col).isNotNull())
+    return df.filter(F.col(col).isNotNull()) if de is None and ate is None else df
 
 
 def cash_rows(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
-from ledgerline.functions.money import cents, money_sum, ratio
+from ledgerline.functions.money import cell_count, cell_sum, cells, cents, money_sum, ratio
 from ledgerline.operators.flows import by_month_key
 from ledgerline.operators.rows import inflow, outflow, overdue, status_in
 
@@ -108,11 +108,11 @@ def pct_band(pct: Column) -> Column:
 
 def delinquency(rows: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Overdue total, its percent of the period's inflow, titles and colour band."""
-    late = inflow() & overdue() & (F.col("data_vencimento") < D.date_lit(as_of))
-    g = rows.agg(
-        money_sum("valor", late).alias("total_atrasado"),
-        F.count_if(F.coalesce(late, F.lit(False))).alias("titulos"),
-        money_sum("valor", inflow()).alias("_ent"),
+    late = overdue() & (F.col("data_vencimento") < D.date_lit(as_of))
+    g = cells(rows.filter(inflow()), F.coalesce(late, F.lit(False)).alias("_late")).agg(
+        cell_sum(F.col("_late")).alias("total_atrasado"),
+        cell_count(F.col("_late")).alias("titulos"),
+        cell_sum().alias("_ent"),
     )
     pct = F.coalesce(F.col("total_atrasado") / F.nullif("_ent", F.lit(0.0)) * 100, F.lit(0.0))
     return g.select("total_atrasado", "titulos", F.round(pct, 1).alias("pct"), pct_band(pct).alias("faixa"))

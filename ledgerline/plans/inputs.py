@@ -15,6 +15,7 @@ from ledgerline import constants as K
 from ledgerline.functions import dates as D
 from ledgerline.functions import text as T
 from ledgerline.functions.money import cents
+from ledgerline.functions.text import pick
 from ledgerline.operators import maintenance, normalize
 from ledgerline.operators.budget import ACTUAL_SHEET, BUDGET_SHEET
 from ledgerline.operators.payroll import SUMMARY_SHEET
@@ -49,10 +50,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def pick(c: Column | str, mapping: dict) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), F.col(c) if isinstance(c, str) else c)
-
-
 def _day(c: str) -> Column:
     return F.to_date(F.col(c))
 
@@ -62,14 +59,14 @@ def _day(c: str) -> Column:
 
 def ledger(spark: SparkSession, sf: str, *need: str) -> DataFrame:
     """Ledger rows. ``need``: any of category, direct, project, client, account adds those columns."""
-    inn, out = _inflow(spark, sf, set(need)), _outflow(spark, sf, set(need))
-    rows = inn.unionByName(out)
-    rows = rows.withColumn("data_previsao", D.next_workday("data_vencimento"))
-    if "direct" in need:
-        rows = rows.withColumn("modalidade", T.modality("is_faturamento_direto"))
-    if "project" in need:
-        rows = rows.withColumn("projeto_nome", project_name(F.col("projeto_id")))
-    return rows
+    wanted = set(need)
+    rows = _inflow(spark, sf, wanted).unionByName(_outflow(spark, sf, wanted))
+    extra = {"data_previsao": D.next_workday("data_vencimento")}
+    if "direct" in wanted:
+        extra["modalidade"] = T.modality("is_faturamento_direto")
+    if "project" in wanted:
+        extra["projeto_nome"] = project_name(F.col("projeto_id"))
+    return rows.withColumns(extra)
 
 
 def project_name(pid: Column) -> Column:
@@ -81,42 +78,43 @@ def project_name(pid: Column) -> Column:
     )
 
 
+SEGMENT = "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Faturamento Direto' ELSE c_mktsegment END"
+
+
 def _inflow(spark: SparkSession, sf: str, need: set[str]) -> DataFrame:
     o = table(spark, sf, "orders")
-    day = _day("o_orderdate")
     if need & {"category", "direct", "client", "account"}:
         c = table(spark, sf, "customer")
         o = o.join(c, o.o_custkey == c.c_custkey, "left")
     cols = [
-        F.col("o_orderkey").alias("id"),
-        F.lit(K.INFLOW).alias("tipo"),
-        F.col("o_totalprice").alias("valor"),
-        pick("o_orderstatus", {"F": "RECEBIDO", "O": "A VENCER", "P": "ATRASADO"}).alias("status"),
-        day.alias("data_emissao"),
-        F.date_add(day, 30).alias("data_vencimento"),
-        F.when(F.col("o_orderstatus") == "F", F.date_add(day, (F.col("o_orderkey") % 150).cast("int"))).alias("data_pagamento"),
-        F.col("o_orderkey").cast("string").alias("numero_documento"),
+        "o_orderkey AS id",
+        "'entrada' AS tipo",
+        "o_totalprice AS valor",
+        "CASE o_orderstatus WHEN 'F' THEN 'RECEBIDO' WHEN 'O' THEN 'A VENCER' WHEN 'P' THEN 'ATRASADO' END AS status",
+        "to_date(o_orderdate) AS data_emissao",
+        "date_add(to_date(o_orderdate), 30) AS data_vencimento",
+        "CASE WHEN o_orderstatus = 'F' THEN date_add(to_date(o_orderdate), int(o_orderkey % 150)) END AS data_pagamento",
+        "string(o_orderkey) AS numero_documento",
     ]
-    segment = F.when(F.col("c_mktsegment") == "MACHINERY", "Faturamento Direto").otherwise(F.col("c_mktsegment")) if need & {"category", "direct"} else None
     if "category" in need:
-        cols += [
-            F.concat(F.lit("1.01.0"), F.substring("o_orderpriority", 1, 1)).alias("categoria_codigo"),
-            segment.alias("categoria_nome"),
-        ]
+        cols += ["concat('1.01.0', left(o_orderpriority, 1)) AS categoria_codigo", f"{SEGMENT} AS categoria_nome"]
     if "direct" in need:
-        cols.append(T.is_direct_inflow(segment).alias("is_faturamento_direto"))
+        cols.append(f"contains(lower(coalesce({SEGMENT}, '')), 'faturamento direto') AS is_faturamento_direto")
     if "project" in need:
-        cols.append(F.nullif(F.col("o_custkey") % 500, F.lit(0)).alias("projeto_id"))
+        cols.append("nullif(o_custkey % 500, 0) AS projeto_id")
     if "client" in need:
-        cols += [F.col("o_custkey").alias("cliente_id"), F.coalesce("c_name", F.lit("")).alias("cliente_nome")]
+        cols += ["o_custkey AS cliente_id", "coalesce(c_name, '') AS cliente_nome"]
     if "account" in need:
-        cols.append(F.col("c_nationkey").cast("long").alias("conta_corrente_id"))
-    return o.select(*cols)
+        cols.append("bigint(c_nationkey) AS conta_corrente_id")
+    return o.selectExpr(*cols)
+
+
+DOCUMENT = """CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN concat('FD NF ', l_orderkey)
+ ELSE concat(l_orderkey, '/', l_linenumber) END"""
 
 
 def _outflow(spark: SparkSession, sf: str, need: set[str]) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    day = _day("l_shipdate")
     if "project" in need:
         o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
         li = li.join(o, li.l_orderkey == o.o_orderkey, "left")
@@ -126,35 +124,29 @@ def _outflow(spark: SparkSession, sf: str, need: set[str]) -> DataFrame:
     if need & {"client", "account"}:
         s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
         li = li.join(s, li.l_suppkey == s.s_suppkey, "left")
-    paid = F.col("l_linestatus") == "F"
-    number = F.when(
-        (F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 1),
-        F.concat(F.lit("FD NF "), F.col("l_orderkey").cast("string")),
-    ).otherwise(F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
     cols = [
-        F.lit(None).cast("long").alias("id"),
-        F.lit(K.OUTFLOW).alias("tipo"),
-        F.col("l_extendedprice").alias("valor"),
-        F.when(paid, "PAGO").otherwise(pick("l_returnflag", {"R": "ATRASADO", "A": "A VENCER", "N": "VENCE HOJE"})).alias("status"),
-        day.alias("data_emissao"),
-        F.date_add(day, 45).alias("data_vencimento"),
-        F.when(paid, F.date_add(day, (F.col("l_orderkey") % 150).cast("int"))).alias("data_pagamento"),
-        number.alias("numero_documento"),
+        "bigint(NULL) AS id",
+        "'saida' AS tipo",
+        "l_extendedprice AS valor",
+        """CASE WHEN l_linestatus = 'F' THEN 'PAGO' WHEN l_returnflag = 'R' THEN 'ATRASADO'
+ WHEN l_returnflag = 'A' THEN 'A VENCER' WHEN l_returnflag = 'N' THEN 'VENCE HOJE' END AS status""",
+        "to_date(l_shipdate) AS data_emissao",
+        "date_add(to_date(l_shipdate), 45) AS data_vencimento",
+        "CASE WHEN l_linestatus = 'F' THEN date_add(to_date(l_shipdate), int(l_orderkey % 150)) END AS data_pagamento",
+        f"{DOCUMENT} AS numero_documento",
     ]
     if "category" in need:
-        cols += [pick("p_type", PART_CODES).alias("categoria_codigo"), F.col("p_type").alias("categoria_nome")]
+        codes = " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in PART_CODES.items())
+        cols += [f"CASE p_type {codes} END AS categoria_codigo", "p_type AS categoria_nome"]
     if "direct" in need:
-        cols.append(T.is_direct_outflow(number).alias("is_faturamento_direto"))
+        cols.append(f"contains(lower({DOCUMENT}), 'fd') AS is_faturamento_direto")
     if "project" in need:
-        cols.append(F.nullif(F.col("o_custkey") % 500, F.lit(0)).alias("projeto_id"))
+        cols.append("nullif(o_custkey % 500, 0) AS projeto_id")
     if "client" in need:
-        cols += [
-            (F.col("l_suppkey") + SUPPLIER_BASE).alias("cliente_id"),
-            F.coalesce("s_name", F.lit("")).alias("cliente_nome"),
-        ]
+        cols += [f"l_suppkey + {SUPPLIER_BASE} AS cliente_id", "coalesce(s_name, '') AS cliente_nome"]
     if "account" in need:
-        cols.append(F.col("s_nationkey").cast("long").alias("conta_corrente_id"))
-    return li.select(*cols)
+        cols.append("bigint(s_nationkey) AS conta_corrente_id")
+    return li.selectExpr(*cols)
 
 
 # --- landed records ----------------------------------------------------------

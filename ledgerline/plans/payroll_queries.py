@@ -221,7 +221,7 @@ part("media", f"SELECT {m()} / count(*) AS x FROM custo_cheio WHERE rubrica = 't
         f"""SELECT mes, CAST(floor(x + 0.5) AS BIGINT) AS base, CAST(floor(x + 16000 + 0.5) AS BIGINT) AS expansao,
  CAST(floor(CASE WHEN {YTD} THEN valor WHEN mes = '1999-08' THEN x - 23000 + 30000 ELSE x - 23000 END + 0.5) AS BIGINT) AS reducao
  FROM custo_cheio, media WHERE rubrica = 'total'
- UNION ALL SELECT 'ANO', floor(x * 12 + 0.5), floor((x + 16000) * 12 + 0.5), floor((x - 23000) * 12 + 30000 + 0.5) FROM media""",
+ UNION ALL SELECT 'ANO', CAST(floor(x * 12 + 0.5) AS BIGINT), CAST(floor((x + 16000) * 12 + 0.5) AS BIGINT), CAST(floor((x - 23000) * 12 + 30000 + 0.5) AS BIGINT) FROM media""",
         "custo_cheio",
         "media",
     ),

@@ -290,11 +290,11 @@ def _(s, sf):
 
 @query(
     "document_lookup",
-    check("SELECT tipo, numero_documento, cliente_nome, valor, status, data_vencimento FROM L WHERE numero_documento = 'FD NF 98'", "L"),
+    check("SELECT tipo, numero_documento, cliente_nome, valor, status, data_vencimento FROM L WHERE numero_documento = '98'", "L"),
 )
 def _(s, sf):
     cols = ["tipo", "numero_documento", "cliente_nome", "valor", "status", "data_vencimento"]
-    return Q.by_document(I.ledger(s, sf, "client"), "FD NF 98").select(*cols)
+    return Q.by_document(I.ledger(s, sf, "client"), "98").select(*cols)
 
 
 # --- search, audit, chat -----------------------------------------------------
