@@ -137,7 +137,7 @@ def admit_stream(
         rows["accepted"] = decide(times, limit, window, recent)
         state.update(([int(t) for t in recent],))
         if recent:
-            wake = (recent[-1] + window) // 1000
+            wake = int(recent[-1] + window) // 1000
             state.setTimeoutTimestamp(max(wake, state.getCurrentWatermarkMs() + 1))
         yield rows[[user, ts, event_id, "accepted"]]
 
