@@ -26,56 +26,40 @@ def line_map(spark: SparkSession, lines=K.STATEMENT_LINES) -> DataFrame:
 def budget_from_cells(cells: DataFrame, lines: DataFrame, year: int) -> DataFrame:
     """Statement table: line x month with actual, budget, variation and the months that have actuals.
 
-    Cells without a number and lines without a row count as 0. The line map is a
-    constant of a few dozen rows; the cells are aggregated before they meet it.
+    Cells without a number and lines without a row count as 0. The cells are read
+    once and keep only the rows of the line map, a constant of a few dozen rows.
     """
     month = F.col("col") - (FIRST_MONTH_COL - 1)
     value = F.round(to_number("value"), 2)
     wide = (
         cells.filter(month.between(1, 12))
-        .groupBy("row", month.alias("m"))
+        .join(_sheet_rows(lines), ["sheet", "row"])
+        .groupBy("label", month.alias("m"))
         .agg(
-            F.max(F.when(F.col("sheet") == ACTUAL_SHEET, value)).alias("real"),
-            F.max(F.when(F.col("sheet") == BUDGET_SHEET, value)).alias("bp"),
+            F.max(F.when(F.col("sheet") == ACTUAL_SHEET, value)).alias("_real"),
+            F.max(F.when(F.col("sheet") == BUDGET_SHEET, value)).alias("_bp"),
         )
     )
-    grid = lines.select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
-    real = wide.select(F.col("row").alias("real_row"), "m", F.col("real").alias("_real"))
-    bp = wide.select(F.col("row").alias("bp_row"), "m", F.col("bp").alias("_bp"))
-    j = grid.join(real, ["real_row", "m"], "left").join(bp, ["bp_row", "m"], "left")
-    mes = F.format_string("%04d-%02d", F.lit(year), F.col("m"))
-    rows = j.select(
+    grid = lines.select("label", "section", "level", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
+    rows = grid.join(wide, ["label", "m"], "left").select(
         "label",
         "section",
         "level",
-        mes.alias("mes"),
+        F.format_string("%04d-%02d", F.lit(year), F.col("m")).alias("mes"),
         F.coalesce("_real", F.lit(0.0)).alias("valor_real"),
         F.coalesce("_bp", F.lit(0.0)).alias("valor_bp"),
     )
-    flags = rows.filter((F.col("label") == K.GROSS_REVENUE) & (F.col("valor_real") != 0)).select(
-        "mes", F.lit(True).alias("_has")
-    )
-    return rows.join(flags, "mes", "left").select(
-        "label",
-        "section",
-        "level",
-        "mes",
-        "valor_real",
-        "valor_bp",
+    gross = (F.col("label") == K.GROSS_REVENUE) & (F.col("valor_real") != 0)
+    return rows.select(
+        "*",
         variation_pct("valor_real", "valor_bp").alias("variacao_pct"),
-        F.coalesce("_has", F.lit(False)).alias("mes_com_real"),
+        F.max(gross).over(Window.partitionBy("mes")).alias("mes_com_real"),
     )
 
 
-def line_map_mismatches(cells: DataFrame, lines: DataFrame) -> DataFrame:
-    """Labels (column 2, else 3) that neither contain nor are contained in the expected label."""
-    text = F.trim("value")
-    labels = (
-        cells.filter(F.col("col").isin(2, 3) & (F.coalesce(text, F.lit("")) != ""))
-        .groupBy("sheet", "row")
-        .agg(F.min_by(text, F.col("col")).alias("encontrado"))
-    )
-    expected = lines.select(
+def _sheet_rows(lines: DataFrame) -> DataFrame:
+    """sheet, row, label of every mapped workbook line."""
+    return lines.select(
         "label",
         F.explode(
             F.array(
@@ -84,8 +68,18 @@ def line_map_mismatches(cells: DataFrame, lines: DataFrame) -> DataFrame:
             )
         ).alias("x"),
     ).select("label", "x.*")
+
+
+def line_map_mismatches(cells: DataFrame, lines: DataFrame) -> DataFrame:
+    """Labels (column 2, else 3) that neither contain nor are contained in the expected label."""
+    text = F.trim("value")
+    labels = (
+        cells.filter(F.col("col").isin(2, 3) & (F.coalesce(text, F.lit("")) != ""))
+        .groupBy("sheet", "row")
+        .agg(F.min_by(text, F.col("col")).alias("encontrado"))
+    )
     a, b = F.lower("label"), F.lower("encontrado")
-    j = expected.join(labels, ["sheet", "row"])
+    j = _sheet_rows(lines).join(labels, ["sheet", "row"])
     return j.filter(~a.contains(b) & ~b.contains(a)).select(
         "sheet", "row", F.col("label").alias("esperado"), "encontrado"
     )

@@ -24,7 +24,15 @@ from ledgerline.functions.money import (
     ratio,
     round_cents,
 )
-from ledgerline.operators.rows import inflow, outflow, overdue, realised, status_in
+from ledgerline.operators.rows import (
+    in_period,
+    inflow,
+    outflow,
+    overdue,
+    realised,
+    status_in,
+    with_cash_date,
+)
 
 
 def in_out() -> list[Column]:
@@ -89,25 +97,33 @@ def period_kpis(rows: DataFrame) -> DataFrame:
     )
 
 
-def accrual_kpis(accrual: DataFrame, cash: DataFrame) -> DataFrame:
-    """Accrual totals; open and overdue amounts still come from the cash rows, which keep overdue titles."""
-    part = lambda df, is_accrual: cells(df, "tipo", "status").withColumn("_acc", F.lit(is_accrual))
-    acc = F.col("_acc")
-    g = (
-        part(accrual, True)
-        .unionByName(part(cash, False))
-        .agg(
-            cell_sum(acc & inflow()).alias("entrada"),
-            cell_sum(acc & outflow()).alias("saida"),
-            cell_count(acc & inflow()).alias("qtd_entradas"),
-            cell_count(acc & outflow()).alias("qtd_saidas"),
-            cell_sum(~acc & inflow() & ~realised()).alias("a_receber"),
-            cell_sum(~acc & outflow() & ~realised()).alias("a_pagar"),
-            cell_sum(~acc & inflow() & overdue()).alias("vencido_receber"),
-            cell_sum(~acc & outflow() & overdue()).alias("vencido_pagar"),
-        )
+def accrual_kpis(ledger: DataFrame, de=None, ate=None, project: int | None = None) -> DataFrame:
+    """Accrual totals; open and overdue amounts still come from the cash rows, which keep overdue titles.
+
+    Both row choices are flags of one scan.
+    """
+    rows = with_cash_date(ledger)
+    if project is not None:
+        rows = rows.filter(F.col("projeto_id") == project)
+    g = cells(
+        rows,
+        "tipo",
+        "status",
+        in_period(F.col("data"), de, ate).alias("_cash"),
+        (in_period(F.col("data_vencimento"), de, ate) & ~overdue()).alias("_acc"),
+    )
+    acc, cash = F.col("_acc"), F.col("_cash")
+    one = g.agg(
+        cell_sum(acc & inflow()).alias("entrada"),
+        cell_sum(acc & outflow()).alias("saida"),
+        cell_count(acc & inflow()).alias("qtd_entradas"),
+        cell_count(acc & outflow()).alias("qtd_saidas"),
+        cell_sum(cash & inflow() & ~realised()).alias("a_receber"),
+        cell_sum(cash & outflow() & ~realised()).alias("a_pagar"),
+        cell_sum(cash & inflow() & overdue()).alias("vencido_receber"),
+        cell_sum(cash & outflow() & overdue()).alias("vencido_pagar"),
     )
-    return g.withColumn("resultado", result())
+    return one.withColumn("resultado", result())
 
 
 def status_totals(rows: DataFrame) -> DataFrame:
@@ -162,28 +178,34 @@ def group_month_cells(rows: DataFrame, date_col: str) -> DataFrame:
     return cells(rows, "tipo", T.category_group("categoria_codigo").alias("grupo"), D.month_start(date_col).alias("_m"))
 
 
-def months_of_cells(g: DataFrame) -> DataFrame:
-    """mes, receita, saida out of ``group_month_cells``."""
-    m = g.groupBy("_m").agg(cell_sum(inflow()).alias("receita"), cell_sum(outflow()).alias("saida"))
-    return m.select(D.month_text("_m").alias("mes"), "receita", "saida")
-
-
-def outflow_of_cells(g: DataFrame) -> DataFrame:
-    """grupo, mes, valor of the outflow out of ``group_month_cells``."""
-    out = g.filter(outflow() & F.col("grupo").isNotNull())
-    return out.select("grupo", D.month_text("_m").alias("mes"), (F.col("_c") / F.lit(100.0)).alias("valor"))
+def month_total(where: Column) -> Column:
+    """Month total over ``group_month_cells``, next to every cell of the month."""
+    v = F.sum(F.when(where, F.col("_c"))).over(Window.partitionBy("_m"))
+    return F.coalesce(v, F.lit(0)) / F.lit(100.0)
 
 
 def group_month_matrix(rows: DataFrame, categories: DataFrame, date_col: str = "data") -> DataFrame:
-    """Outflow per group and month with the group total, its rank and the month's revenue and outflow."""
-    g = group_month_cells(rows, date_col)
-    total = round_cents(F.sum("valor").over(Window.partitionBy("grupo")))
-    grid = outflow_of_cells(g).withColumn("total_grupo", total)
-    # few groups: dense rank over (total, code) numbers them 1, 2, ...
-    order = F.dense_rank().over(Window.orderBy(F.desc("total_grupo"), "grupo"))
-    months = months_of_cells(g).select("mes", F.col("receita").alias("receita_mes"), F.col("saida").alias("saida_mes"))
-    return group_names(grid.withColumn("ordem", order.cast("long")).join(months, "mes"), categories).select(
-        "grupo", "nome", "mes", "valor", "total_grupo", "ordem", "receita_mes", "saida_mes"
+    """Outflow per group and month with the group total, its rank and the month's revenue and outflow.
+
+    One reduction of the rows; all totals are windows over its few cells.
+    """
+    g = group_month_cells(rows, date_col).select(
+        "*", month_total(inflow()).alias("receita_mes"), month_total(outflow()).alias("saida_mes")
+    )
+    g = g.filter(outflow() & F.col("grupo").isNotNull())
+    total = F.sum("_c").over(Window.partitionBy("grupo")) / F.lit(100.0)
+    # dense rank over (total, code) numbers the groups 1, 2, ...
+    order = F.dense_rank().over(Window.orderBy(F.desc("total_grupo"), "grupo")).cast("long")
+    g = g.withColumn("total_grupo", total).withColumn("ordem", order)
+    return group_names(g, categories).select(
+        "grupo",
+        "nome",
+        D.month_text("_m").alias("mes"),
+        (F.col("_c") / F.lit(100.0)).alias("valor"),
+        "total_grupo",
+        "ordem",
+        "receita_mes",
+        "saida_mes",
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -14,8 +14,7 @@ from ledgerline.operators.flows import (
     group_month_cells,
     in_out,
     in_out_cells,
-    months_of_cells,
-    outflow_of_cells,
+    month_total,
     result,
 )
 from ledgerline.operators.rows import inflow, outflow, overdue, realised, status_in
@@ -78,42 +77,39 @@ def financial_kpis(rows: DataFrame, top: int = 2) -> DataFrame:
     return one.select(*cols)
 
 
-def _other_groups(grid: DataFrame, k: int) -> DataFrame:
-    """The k largest groups that are neither direct cost nor SG&A."""
-    others = grid.filter(~F.col("grupo").isin(K.DIRECT_COST_GROUP, *K.SGA_GROUPS))
-    return (
-        others.groupBy("grupo").agg(money_sum("valor").alias("_t")).orderBy(F.desc("_t"), "grupo").limit(k).select("grupo")
-    )
+def _series(rows: DataFrame, date_col: str, k: int) -> DataFrame:
+    """``group_month_cells`` with ``serie``: receita, direto, sga, or the code of a top-k other group.
 
-
-def _cost_series(grid: DataFrame, k: int, direct: bool) -> DataFrame:
-    """serie, mes, valor: SG&A together, the top other groups by code, direct cost if wanted."""
+    The ranking is a window over the few cells, other groups first.
+    """
+    g = group_month_cells(rows, date_col)
     kind = bucket(F.col("grupo"))
-    fixed = grid.withColumn("serie", kind).filter(F.col("serie") != "outros")
-    if not direct:
-        fixed = fixed.filter(F.col("serie") != "direto")
-    fixed = fixed.groupBy("serie", "mes").agg(money_sum("valor").alias("valor"))
-    others = grid.join(F.broadcast(_other_groups(grid, k)), "grupo", "left_semi").select(
-        F.col("grupo").alias("serie"), "mes", "valor"
+    other = outflow() & F.col("grupo").isNotNull() & (kind == "outros")
+    g = g.withColumn("_other", F.coalesce(other, F.lit(False)))
+    total = F.sum(F.when(F.col("_other"), F.col("_c"))).over(Window.partitionBy("grupo"))
+    rank = F.dense_rank().over(Window.orderBy(F.desc("_other"), F.desc("_total"), "grupo"))
+    g = g.withColumn("_total", F.when(F.col("_other"), total)).withColumn("_rank", rank)
+    serie = (
+        F.when(inflow(), "receita")
+        .when(F.col("_other"), F.when(F.col("_rank") <= k, F.col("grupo")))
+        .when(F.col("grupo").isNotNull(), kind)
     )
-    return fixed.unionByName(others)
+    return g.withColumn("serie", serie)
 
 
 def monthly_cost_mix(rows: DataFrame, date_col: str = "data_vencimento", k: int = 4) -> DataFrame:
     """Revenue, direct cost, SG&A and the top other groups by month (long form)."""
-    g = group_month_cells(rows, date_col)
-    months = months_of_cells(g.filter(inflow()))
-    revenue = months.select(F.lit("receita").alias("serie"), "mes", F.col("receita").alias("valor"))
-    return revenue.unionByName(_cost_series(outflow_of_cells(g), k, direct=True))
+    g = _series(rows, date_col, k).filter("serie IS NOT NULL").groupBy("serie", "_m").agg(cell_sum().alias("valor"))
+    return g.select("serie", D.month_text("_m").alias("mes"), "valor")
 
 
 def cost_pct_of_revenue(rows: DataFrame, date_col: str = "data_vencimento", k: int = 5) -> DataFrame:
     """SG&A and other groups as percent of the month's revenue; 0 where there is none."""
-    g = group_month_cells(rows, date_col)
-    months = months_of_cells(g).select("mes", "receita")
-    series = _cost_series(outflow_of_cells(g), k, direct=False)
+    g = _series(rows, date_col, k).withColumn("receita", month_total(inflow()))
+    g = g.filter(~F.col("serie").isin("receita", "direto")).groupBy("serie", "_m")
+    g = g.agg(cell_sum().alias("valor"), F.max("receita").alias("receita"))
     pct = F.when(F.col("receita") > 0, ratio(F.col("valor"), F.col("receita"), 2, 100.0)).otherwise(F.lit(0.0))
-    return series.join(months, "mes").select("serie", "mes", pct.alias("pct"))
+    return g.select("serie", D.month_text("_m").alias("mes"), pct.alias("pct"))
 
 
 def monthly_result(rows: DataFrame, date_col: str = "data_vencimento") -> DataFrame:
@@ -168,7 +164,9 @@ def project_detail(projects: DataFrame, search: str | None = None) -> DataFrame:
 def project_points(projects: DataFrame, floor: float = 70000.0, exclude: str = r"\bsk\b") -> DataFrame:
     """Margin against revenue for large projects: band and marker size by share of the largest revenue."""
     large = projects.filter(F.col("entrada") >= floor)
-    biggest = large.agg(F.greatest(F.max("entrada"), F.lit(1.0)).alias("m"))
+    # the maximum reads the same columns as the rows below, so both share one aggregation of the ledger
+    top = F.max(F.struct("entrada", "saida", "projeto_nome", "projeto_id")).getField("entrada")
+    biggest = large.agg(F.greatest(top, F.lit(1.0)).alias("m"))
     pct = (F.col("entrada") - F.col("saida")) / F.col("entrada") * 100
     band = F.when(pct >= 20, "verde").when(pct >= 0, "amarelo").otherwise("vermelho")
     return large.filter(~T.name_matches("projeto_nome", exclude)).select(

@@ -17,21 +17,12 @@ from ledgerline.functions import dates as D
 from ledgerline.functions.money import cell_sum, cells, money_sum, ratio, round_cents
 from ledgerline.operators.balances import month_totals
 from ledgerline.operators.flows import in_out_cells
-from ledgerline.operators.rows import inflow, overdue, with_cash_date
+from ledgerline.operators.rows import in_period, inflow, overdue, with_cash_date
 from ledgerline.operators.terms import pct_band
 
 CASH, ACCRUAL = "caixa", "competencia"
 
 
-def _inside(day: Column, de, ate) -> Column:
-    ok = day.isNotNull()
-    if de is not None:
-        ok = ok & (day >= D.date_lit(de))
-    if ate is not None:
-        ok = ok & (day <= D.date_lit(ate))
-    return ok
-
-
 def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
     """regime, mes, entrada, saida, vencido_receber.
 
@@ -41,8 +32,8 @@ def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
     due = F.col("data_vencimento")
     g = cells(
         with_cash_date(ledger),
-        F.when(_inside(F.col("data"), de, ate), D.month_start("data")).alias("_cash"),
-        F.when(_inside(due, de, ate) & ~overdue(), D.month_start(due)).alias("_acc"),
+        F.when(in_period(F.col("data"), de, ate), D.month_start("data")).alias("_cash"),
+        F.when(in_period(due, de, ate) & ~overdue(), D.month_start(due)).alias("_acc"),
         "tipo",
         overdue().alias("_late"),
     )

@@ -427,26 +427,28 @@ def cost_scenarios(
     one_off: float = K.SCENARIO_ONE_OFF,
 ) -> DataFrame:
     """Keep, grow and shrink per month, plus an 'ANO' row with the twelve-month totals."""
-    months = _months(cost).select("mes", "total", D.month_status("mes", as_of).isin(*DONE).alias("_done"))
-    mean_row = months.filter("_done").agg(
-        F.coalesce(money_sum("total") / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0)).alias("m")
-    )
-    first_projected = months.filter("NOT _done").agg(F.min("mes").alias("m")).scalar()
-    mean = mean_row.scalar()
+    months = _months(cost).select("mes", "total", D.month_status("mes", as_of).isin(*DONE).alias("feito"))
+    done = F.col("feito")
+    # twelve months fit one row: the mean and the first projected month are then plain columns
+    one = months.agg(
+        F.sort_array(F.collect_list(F.struct("mes", "total", "feito"))).alias("_meses"),
+        F.coalesce(money_sum("total", done) / F.nullif(F.count_if(done), F.lit(0)), F.lit(0.0)).alias("_media"),
+        F.min(F.when(~done, F.col("mes"))).alias("_primeiro"),
+    )
+    mean = F.col("_media")
     whole = lambda c: F.floor(c + 0.5)
-    extra = F.when(F.col("mes") == first_projected, F.lit(float(one_off))).otherwise(F.lit(0.0))
-    shrink = F.when(F.col("_done"), F.col("total")).otherwise(mean - reduction + extra)
-    per_month = months.select(
-        "mes", whole(mean).alias("base"), whole(mean + expansion).alias("expansao"), whole(shrink).alias("reducao")
-    )
-    m = F.col("m")
-    year = mean_row.select(
-        F.lit("ANO").alias("mes"),
-        whole(m * 12).alias("base"),
-        whole((m + expansion) * 12).alias("expansao"),
-        whole((m - reduction) * 12 + one_off).alias("reducao"),
-    )
-    return per_month.unionByName(year)
+    line = lambda mes, shrink, n: F.struct(
+        mes.alias("mes"),
+        whole(mean * n).alias("base"),
+        whole((mean + expansion) * n).alias("expansao"),
+        whole(shrink).alias("reducao"),
+    )
+    extra = lambda x: F.when(x.mes == F.col("_primeiro"), F.lit(float(one_off))).otherwise(F.lit(0.0))
+    per_month = F.transform(
+        "_meses", lambda x: line(x.mes, F.when(x.feito, x.total).otherwise(mean - reduction + extra(x)), 1)
+    )
+    year = F.array(line(F.lit("ANO"), (mean - reduction) * 12 + one_off, 12))
+    return one.select(F.explode(F.concat(per_month, year)).alias("l")).select("l.*")
 
 
 def department_headcount(demographic: DataFrame, months: list[str]) -> DataFrame:

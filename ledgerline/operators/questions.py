@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -161,15 +161,19 @@ def due_this_week(ledger: DataFrame, as_of) -> DataFrame:
 
 def supplier_spend(ledger: DataFrame, words: list[str], as_of) -> DataFrame:
     """Spend with one supplier: paid by month of the year, plus year and open totals, dearest month marked."""
+    paid = status_in([K.PAID_OUT]) & F.coalesce(_in_year("data_pagamento", as_of), F.lit(False))
+    month = F.when(paid, D.month_start("data_pagamento"))
     rows = ledger.filter(outflow() & T.contains_all("cliente_nome", words))
-    paid = rows.filter(status_in([K.PAID_OUT]) & _in_year("data_pagamento", as_of))
-    months = by_month_key(paid, "data_pagamento", money_sum("valor").alias("total"), _n())
-    best = months.agg(F.max_by("mes", F.struct("total", "mes")).alias("m")).scalar()
-    months = months.select("mes", "total", "qtd", (F.col("mes") == best).alias("mais_caro"))
-    never = F.lit(False).alias("mais_caro")
-    year = paid.agg(money_sum("valor").alias("total"), _n()).select(F.lit("ANO").alias("mes"), "total", "qtd", never)
-    still = rows.filter(status_in(K.OPEN)).agg(money_sum("valor").alias("total"), _n())
-    return months.unionByName(year).unionByName(still.select(F.lit("ABERTO").alias("mes"), "total", "qtd", never))
+    g = cells(rows, month.alias("_m"), status_in(K.OPEN).alias("_open"))
+    labels = (
+        F.when(F.col("_m").isNotNull(), F.array(D.month_text("_m"), F.lit("ANO")))
+        .when(F.col("_open"), F.array(F.lit("ABERTO")))
+    )
+    g = g.select("_c", "_n", F.explode(labels).alias("mes")).groupBy("mes")
+    g = g.agg(cell_sum().alias("total"), cell_count().alias("qtd"))
+    is_month = ~F.col("mes").isin("ANO", "ABERTO")
+    place = F.row_number().over(Window.partitionBy(is_month).orderBy(F.desc("total"), F.desc("mes")))
+    return g.select("mes", "total", "qtd", (is_month & (place == 1)).alias("mais_caro"))
 
 
 def top_suppliers(ledger: DataFrame, as_of, k: int = 20) -> DataFrame:

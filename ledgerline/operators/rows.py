@@ -36,6 +36,16 @@ def with_cash_date(ledger: DataFrame) -> DataFrame:
     return ledger.withColumn("data", D.cash_date())
 
 
+def in_period(day: Column, de=None, ate=None) -> Column:
+    """Never NULL: rows without the date are outside."""
+    ok = day.isNotNull()
+    if de is not None:
+        ok = ok & F.coalesce(day >= D.date_lit(de), F.lit(False))
+    if ate is not None:
+        ok = ok & F.coalesce(day <= D.date_lit(ate), F.lit(False))
+    return ok
+
+
 def _between(df: DataFrame, col: str, de, ate) -> DataFrame:
     if de is not None:
         df = df.filter(F.col(col) >= D.date_lit(de))

@@ -21,37 +21,31 @@ def ledger_names(ledger: DataFrame) -> DataFrame:
     return tagged(projects, PROJECT).unionByName(tagged(clients, CLIENT))
 
 
-def _first(names: DataFrame, cond, k: int) -> list[DataFrame]:
-    return [
-        names.filter((F.col("tipo") == t) & cond).select("nome", "tipo").distinct().orderBy("nome").limit(k)
-        for t in (PROJECT, CLIENT)
-    ]
-
-
-def _ranked(parts: list[DataFrame], k: int) -> DataFrame:
-    """Distinct by name (projects before clients), at most k."""
-    rows = reduce(DataFrame.unionByName, parts)
-    rank = F.when(F.col("tipo") == PROJECT, 0).otherwise(1)
-    one = rows.groupBy("nome").agg(F.min_by("tipo", rank).alias("tipo"))
-    return one.orderBy(F.when(F.col("tipo") == PROJECT, 0).otherwise(1), "nome").limit(k)
-
-
 def resolve_names(names: DataFrame, question: str, k: int = 10) -> DataFrame:
     """Projects and clients a question may mean.
 
-    Names that contain all of the first four search words; if there are none,
-    names that contain either of the first two long words. The words are
-    constants of the scan filter, so no join takes place.
+    Names that contain all of the first four search words, ten per kind; if
+    there are none, names that contain either of the first two long words, five
+    per kind and word. The words are constants of one scan: each name lists the
+    rules it meets, and the best names per rule are kept before anything is
+    shuffled.
     """
     words = T.question_tokens(question)
     if not words:
         return names.select("nome", "tipo").limit(0)
-    exact = _ranked(_first(names, T.contains_all("nome", words[:4]), 10), k)
     long = [w for w in words if len(w) > 3][:2]
-    if not long or long == words:
-        return exact
-    parts = [p for w in long for p in _first(names, T.contains_all("nome", [w]), 5)]
-    return exact.unionByName(_ranked(parts, k).filter(~exact.exists()))
+    rules = [words[:4]] + ([[w] for w in long] if long and long != words else [])
+    met = F.array_compact(F.array(*[F.when(T.contains_all("nome", r), F.lit(i)) for i, r in enumerate(rules)]))
+    hits = names.select("nome", "tipo", F.explode(met).alias("regra")).distinct()
+    first = Window.partitionBy("regra", "tipo").orderBy("nome")
+    hits = hits.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= 10)
+    hits = hits.filter((F.col("regra") == 0) | (F.col("_n") <= 5))
+    # from here on at most 10 + 2 x 5 names per kind
+    stage = F.when(F.col("regra") == 0, 0).otherwise(1)
+    best = hits.withColumn("_best", F.min(stage).over(Window.partitionBy())).filter(stage == F.col("_best"))
+    kind = F.when(F.col("tipo") == PROJECT, 0).otherwise(1)
+    one = best.groupBy("nome").agg(F.min_by("tipo", kind).alias("tipo"))
+    return one.orderBy(F.when(F.col("tipo") == PROJECT, 0).otherwise(1), "nome").limit(k)
 
 
 def search_names(df: DataFrame, col: str, q: str, k: int = 20) -> DataFrame:

@@ -68,8 +68,7 @@ def _(s, sf):
     ),
 )
 def _(s, sf):
-    rows = I.ledger(s, sf)
-    return flows.accrual_kpis(accrual_rows(rows, DE, ATE), cash_rows(rows, DE, ATE))
+    return flows.accrual_kpis(I.ledger(s, sf), DE, ATE)
 
 
 @query(

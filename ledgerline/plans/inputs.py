@@ -316,16 +316,21 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_extendedprice").alias("valor_total"),
         ).alias("produto")
     )
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left").join(p, F.col("l_partkey") == p.p_partkey, "left")
-    return j.select(
+    header = [
         F.struct(
             key.alias("codigo_pedido"),
             stage.alias("etapa"),
             F.when(key % 29 != 0, F.date_format("o_orderdate", "dd/MM/yyyy")).alias("data_previsao"),
         ).alias("cabecalho"),
         F.struct(F.col("o_totalprice").alias("valor_mercadorias")).alias("total_pedido"),
-        F.when(F.col("l_orderkey").isNotNull(), F.array(item)).alias("det"),
-    )
+    ]
+    # Lines drive the join, so an order with very many lines can be split; orders
+    # without lines are found against the distinct order keys.
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey, "left")
+    full = lines.select(*header, F.array(item).alias("det"))
+    sold = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    bare = o.join(sold, "o_orderkey", "left_anti").select(*header, F.lit(None).cast(full.schema["det"].dataType).alias("det"))
+    return full.unionByName(bare)
 
 
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -579,12 +584,11 @@ def _area_cells(spark: SparkSession, sf: str) -> DataFrame:
     lines = _cost_lines(spark, sf)
     row = (F.col("l_linenumber") + 22).cast("int")
     g = lines.rollup("col", row.alias("row")).agg(F.sum("c").alias("c")).filter("col IS NOT NULL")
-    values = g.select(F.coalesce("row", F.lit(30)).alias("row"), "col", _money_text("c").alias("value"))
-    seen = lines.select("l_linenumber").distinct()
-    name = F.concat(F.lit("Area "), F.col("l_linenumber").cast("string"))
-    names = seen.select(row.alias("row"), F.lit(1).alias("col"), name.alias("value"))
-    total = spark.range(1).select(F.lit(30).alias("row"), F.lit(1).alias("col"), F.lit(K.AREA_TOTAL_LABEL).alias("value"))
-    return values.unionByName(names).unionByName(total)
+    row_of = F.coalesce("row", F.lit(30))
+    name = F.when(row_of == 30, K.AREA_TOTAL_LABEL).otherwise(F.concat(F.lit("Area "), (row_of - 22).cast("string")))
+    cell = lambda col, v: F.struct(row_of.alias("row"), col.alias("col"), v.alias("value"))
+    both = F.array(cell(F.col("col"), _money_text("c")), cell(F.lit(1), name))
+    return g.select(F.explode(both).alias("x")).select("x.*").distinct()
 
 
 def _headcount_cells(spark: SparkSession, sf: str) -> DataFrame:

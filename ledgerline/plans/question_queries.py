@@ -166,8 +166,8 @@ part("forn_mes", f"SELECT {ym('data_pagamento')} AS mes, {m()} AS total, count(*
     "supplier_spend",
     check(
         f"""SELECT mes, total, qtd, mes = (SELECT mes FROM forn_mes ORDER BY total DESC, mes DESC LIMIT 1) AS mais_caro FROM forn_mes
- UNION ALL SELECT 'ANO', {m()}, count(*), FALSE FROM forn WHERE status = 'PAGO' AND {YEAR.format('data_pagamento')}
- UNION ALL SELECT 'ABERTO', {m()}, count(*), FALSE FROM forn WHERE {OPEN}""",
+ UNION ALL SELECT 'ANO', {m()}, count(*), FALSE FROM forn WHERE status = 'PAGO' AND {YEAR.format('data_pagamento')} HAVING count(*) > 0
+ UNION ALL SELECT 'ABERTO', {m()}, count(*), FALSE FROM forn WHERE {OPEN} HAVING count(*) > 0""",
         "forn",
         "forn_mes",
     ),
