@@ -19,7 +19,6 @@ from ledgerline.functions.money import (
     cell_diff,
     cell_sum,
     cells,
-    cents,
     money_sum,
     ratio,
     round_cents,
@@ -44,22 +43,18 @@ def in_out_cells() -> list[Column]:
     return [cell_sum(inflow()).alias("entrada"), cell_sum(outflow()).alias("saida")]
 
 
-def with_split(rows: DataFrame) -> DataFrame:
-    """Cents and the two flags of the SK/FD split, computed once per row."""
-    fd = F.coalesce(F.col("is_faturamento_direto"), F.lit(False))
-    return rows.withColumns({"_c": cents("valor"), "_in": inflow(), "_fd": fd})
+def split_flag() -> Column:
+    return F.coalesce(F.col("is_faturamento_direto"), F.lit(False))
 
 
-def in_out_split() -> list[Column]:
-    """Six sums over ``with_split``."""
-    fd, i = F.col("_fd"), F.col("_in")
+def split_sums() -> list[Column]:
+    """SK/FD sums per side over ``cells`` that keep the side and ``_fd``."""
+    fd = F.col("_fd")
     return [
-        cell_sum(i).alias("entrada"),
-        cell_sum(~i).alias("saida"),
-        cell_sum(i & ~fd).alias("ent_sk"),
-        cell_sum(i & fd).alias("ent_fd"),
-        cell_sum(~i & ~fd).alias("sai_sk"),
-        cell_sum(~i & fd).alias("sai_fd"),
+        cell_sum(inflow() & ~fd).alias("ent_sk"),
+        cell_sum(inflow() & fd).alias("ent_fd"),
+        cell_sum(outflow() & ~fd).alias("sai_sk"),
+        cell_sum(outflow() & fd).alias("sai_fd"),
     ]
 
 
@@ -135,18 +130,22 @@ def in_out_by_month(rows: DataFrame, date_col: str = "data") -> DataFrame:
 
 
 def in_out_by_category(rows: DataFrame) -> DataFrame:
+    """The lowest name per code; names are compared on cells, where it costs nothing."""
     code = T.or_default("categoria_codigo", K.NOT_INFORMED).alias("categoria")
-    g = rows.groupBy(code).agg(F.min("categoria_nome").alias("nome"), *in_out())
+    g = cells(rows, code, "categoria_nome", "tipo").groupBy("categoria")
+    g = g.agg(F.min("categoria_nome").alias("nome"), *in_out_cells())
     return g.withColumn("nome", F.coalesce("nome", "categoria"))
 
 
 def in_out_by_project(rows: DataFrame) -> DataFrame:
-    """Per project with the SK/FD split; rows without a project are left out."""
-    return (
-        with_split(rows.filter(F.col("projeto_id").isNotNull() & (F.col("projeto_id") != 0)))
-        .groupBy("projeto_id")
-        .agg(F.min("projeto_nome").alias("projeto_nome"), *in_out_split())
-    )
+    """Per project with the SK/FD split; rows without a project are left out.
+
+    A minimum over text cannot run in a hash aggregate, so names join the keys
+    of the first step instead of being compared per title.
+    """
+    named = rows.filter(F.col("projeto_id").isNotNull() & (F.col("projeto_id") != 0))
+    g = cells(named, "projeto_id", "projeto_nome", "tipo", split_flag().alias("_fd")).groupBy("projeto_id")
+    return g.agg(F.min("projeto_nome").alias("projeto_nome"), *in_out_cells(), *split_sums())
 
 
 def inflow_by_client(rows: DataFrame) -> DataFrame:
@@ -211,7 +210,8 @@ def group_month_matrix(rows: DataFrame, categories: DataFrame, date_col: str = "
 
 def modality_by_month(rows: DataFrame, date_col: str = "data") -> DataFrame:
     """Monthly inflow and outflow split into SK and FD."""
-    return by_month_key(with_split(rows), date_col, *in_out_split()[2:])
+    g = cells(rows, D.month_start(date_col).alias("_m"), "tipo", split_flag().alias("_fd"))
+    return by_month_key(g, "_m", *split_sums())
 
 
 def modality_totals(ledger: DataFrame, date_col: str = "data_pagamento") -> DataFrame:

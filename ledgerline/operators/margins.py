@@ -188,14 +188,11 @@ def top_by(df: DataFrame, key: str, value: str, k: int = 10) -> DataFrame:
 def direct_billing_balance(rows: DataFrame) -> DataFrame:
     """Direct billing received and spent per project."""
     fd = F.coalesce(F.col("is_faturamento_direto"), F.lit(False)) & F.col("projeto_id").isNotNull()
-    g = (
-        rows.filter(fd & (F.col("projeto_id") != 0))
-        .groupBy("projeto_id")
-        .agg(
-            F.min("projeto_nome").alias("projeto_nome"),
-            money_sum("valor", inflow()).alias("rec_fd"),
-            money_sum("valor", outflow()).alias("desp_fd"),
-        )
+    g = cells(rows.filter(fd & (F.col("projeto_id") != 0)), "projeto_id", "projeto_nome", "tipo").groupBy("projeto_id")
+    g = g.agg(
+        F.min("projeto_nome").alias("projeto_nome"),
+        cell_sum(inflow()).alias("rec_fd"),
+        cell_sum(outflow()).alias("desp_fd"),
     )
     return g.withColumn("diferenca", result("rec_fd", "desp_fd"))
 

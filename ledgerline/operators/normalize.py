@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions import dates as D
 from ledgerline.functions import text as T
-from ledgerline.functions.money import round_cents, to_number
+from ledgerline.functions.money import as_col, is_reject, round_cents, to_number
 
 
 def clean_categories(raw: DataFrame) -> DataFrame:
@@ -61,11 +61,17 @@ def missing_categories(titles: DataFrame, categories: DataFrame) -> DataFrame:
     return both.join(categories.select("codigo"), "codigo", "left_anti")
 
 
-def payment_dates(movements: DataFrame, order: Iterable[str] = ("_page", "_pos")) -> DataFrame:
+def ingest_order(page: Column | str = "_page", pos: Column | str = "_pos") -> Column:
+    """Page and position as one BIGINT, so that it can live in a hash aggregate's buffer."""
+    return F.shiftleft(as_col(page).cast("long"), 32) + as_col(pos).cast("long")
+
+
+def payment_dates(movements: DataFrame, order: Column | None = None) -> DataFrame:
     """Title id -> payment date; the last readable movement in ingest order wins."""
     day = D.parse_br("detalhes.dDtPagamento")
+    order = ingest_order() if order is None else order
     rows = movements.select(
-        F.col("detalhes.nCodTitulo").alias("id"), day.alias("dia"), F.struct(*order).alias("ordem")
+        F.col("detalhes.nCodTitulo").alias("id"), day.alias("dia"), order.alias("ordem")
     ).filter(F.col("id").isNotNull() & (F.col("id") != 0) & F.col("dia").isNotNull())
     return rows.groupBy("id").agg(F.max_by("dia", "ordem").alias("data_movimento"))
 
@@ -200,8 +206,6 @@ def account_balances(
 
 def rejected_numbers(raw: DataFrame, cols: Iterable[str]) -> DataFrame:
     """How many values per column were not empty and not numeric (coerced to 0)."""
-    from ledgerline.functions.money import is_reject
-
     cols = list(cols)
     counts = raw.agg(*[F.count_if(is_reject(c)).alias(c) for c in cols])
     return counts.unpivot([], cols, "coluna", "rejeitados")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -12,13 +12,18 @@ from ledgerline.functions.money import money_sum, ratio
 
 
 def order_headers(items: DataFrame) -> DataFrame:
-    """One row per order out of the item rows. Header values repeat on every item, so any of them will do;
-    min() is deterministic and combines before the shuffle."""
-    return items.groupBy("pedido_id").agg(
-        F.min("valor_mercadorias").alias("valor_mercadorias"),
-        F.min("etapa").alias("etapa"),
-        F.min("data_previsao").alias("data_previsao"),
+    """One row per order out of the item rows.
+
+    Header values repeat on every item, so any of them will do; the lowest is
+    deterministic. The stage is text and joins the keys of a first hash
+    aggregation, which also folds orders with very many items before the shuffle.
+    """
+    g = items.groupBy("pedido_id", "etapa").agg(
+        F.min("valor_mercadorias").alias("valor_mercadorias"), F.min("data_previsao").alias("data_previsao")
     )
+    first = Window.partitionBy("pedido_id").orderBy("etapa")
+    one = g.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return one.select("pedido_id", "valor_mercadorias", "etapa", "data_previsao")
 
 
 def sales_summary(items: DataFrame) -> DataFrame:
