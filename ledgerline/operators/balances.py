@@ -12,8 +12,9 @@ from ledgerline.functions import text as T
 from ledgerline.functions.money import money_sum
 
 
-def balance_list(balances: DataFrame) -> DataFrame:
-    """Accounts with a balance, largest first."""
+def balance_list(balances: DataFrame, by_size: bool = False) -> DataFrame:
+    """Accounts with a balance, largest first; ``by_size`` ignores the sign."""
+    key = F.abs("saldo") if by_size else F.col("saldo")
     return (
         balances.filter("saldo <> 0")
         .select(
@@ -24,7 +25,7 @@ def balance_list(balances: DataFrame) -> DataFrame:
             "saldo_conciliado",
             "diferenca",
         )
-        .orderBy(F.desc("saldo"), "conta_id")
+        .orderBy(F.desc(key), "conta_id")
     )
 
 

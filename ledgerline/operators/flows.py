@@ -26,6 +26,7 @@ from ledgerline.functions.money import (
 from ledgerline.operators.rows import (
     in_period,
     inflow,
+    not_overdue,
     outflow,
     overdue,
     realised,
@@ -105,7 +106,7 @@ def accrual_kpis(ledger: DataFrame, de=None, ate=None, project: int | None = Non
         "tipo",
         "status",
         in_period(F.col("data"), de, ate).alias("_cash"),
-        (in_period(F.col("data_vencimento"), de, ate) & ~overdue()).alias("_acc"),
+        (in_period(F.col("data_vencimento"), de, ate) & not_overdue()).alias("_acc"),
     )
     acc, cash = F.col("_acc"), F.col("_cash")
     one = g.agg(

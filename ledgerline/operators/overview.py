@@ -17,7 +17,7 @@ from ledgerline.functions import dates as D
 from ledgerline.functions.money import cell_sum, cells, money_sum, ratio, round_cents
 from ledgerline.operators.balances import month_totals
 from ledgerline.operators.flows import in_out_cells
-from ledgerline.operators.rows import in_period, inflow, overdue, with_cash_date
+from ledgerline.operators.rows import in_period, inflow, not_overdue, overdue, with_cash_date
 from ledgerline.operators.terms import pct_band
 
 CASH, ACCRUAL = "caixa", "competencia"
@@ -33,7 +33,7 @@ def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
     g = cells(
         with_cash_date(ledger),
         F.when(in_period(F.col("data"), de, ate), D.month_start("data")).alias("_cash"),
-        F.when(in_period(due, de, ate) & ~overdue(), D.month_start(due)).alias("_acc"),
+        F.when(in_period(due, de, ate) & not_overdue(), D.month_start(due)).alias("_acc"),
         "tipo",
         overdue().alias("_late"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import balances as B
 from ledgerline.operators import flows, margins, overview, terms
 from ledgerline.operators.rows import accrual_rows, cash_rows
@@ -483,6 +485,20 @@ def _(s, sf):
     return margins.top_by(flows.inflow_by_client(accrual_rows(I.ledger(s, sf, "client"))), "cliente_nome", "entrada")
 
 
+# Few distinct counts, many ties: the key decides.
+@query(
+    "top_k_ties",
+    check(
+        """SELECT usuario, qtd FROM (SELECT user_id AS usuario, CAST(count(DISTINCT event_type) AS DOUBLE) AS qtd FROM events GROUP BY 1)
+ ORDER BY qtd DESC, usuario LIMIT 10"""
+    ),
+)
+def _(s, sf):
+    seen = I.table(s, sf, "events").select("user_id", "event_type").distinct()
+    users = seen.groupBy(F.col("user_id").alias("usuario")).agg(F.count(F.lit(1)).cast("double").alias("qtd"))
+    return margins.top_by(users, "usuario", "qtd")
+
+
 part(
     "fdp",
     f"""SELECT projeto_id, min(projeto_nome) AS projeto_nome, {m(ENT)} AS rec_fd, {m(SAI)} AS desp_fd FROM L WHERE fd AND projeto_id IS NOT NULL GROUP BY 1""",

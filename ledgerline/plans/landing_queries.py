@@ -273,3 +273,14 @@ def _(s, sf):
 def _(s, sf):
     cats = I.categories(s, sf).select("nome").distinct()
     return cats.filter(T.contains_folded("nome", "écoNôm"))
+
+
+@query(
+    "rejected_numbers",
+    check(
+        """SELECT 'salario' AS coluna, count(*) FILTER (p_partkey % 23 <> 0 AND p_partkey % 29 = 0) AS rejeitados FROM part
+ UNION ALL SELECT 'idade', count(*) FILTER (p_partkey % 31 = 0) FROM part UNION ALL SELECT 'tempo_casa', 0 FROM part WHERE p_partkey = 0"""
+    ),
+)
+def _(s, sf):
+    return normalize.rejected_numbers(I.payroll_sheet(s, sf), ["salario", "idade", "tempo_casa"])
