@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, line_runs, queries, simhash
+from ledgerline.llm import byte_bpe, decontaminate, line_runs, queries, simhash, toxicity
 from ledgerline.llm.common import Scratch, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go."""
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), fold=5))
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of 50 words or more go; a document left without a word goes with them."""
     cut = line_runs.without_copies(docs, min_words=50)
@@ -26,14 +31,21 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, radius=3)
 
 
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"), min_similarity=0.8)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path(queries.VOCABULARY))
     return byte_bpe.digests(byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN))
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line dedup", dedup_lines),
     ("simhash near dedup", dedup_near),
+    ("benchmark decontamination", drop_benchmark),
     ("byte-level BPE", tokens),
 ]
 

@@ -6,11 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, line_runs, secrets, simhash, warc
+from ledgerline.llm import (
+    byte_bpe,
+    decontaminate,
+    line_runs,
+    pii,
+    secrets,
+    simhash,
+    toxicity,
+    url_cascade,
+    vptree,
+    warc,
+)
 from ledgerline.llm.common import Query, Scratch, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
+# The rules of the url filter.
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# Hosts with a label that begins with one of these topics are listed.
+TOPICS = ("adult-", "ads-", "casino-", "cheap-", "free-", "spam-")
+
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
@@ -75,6 +91,51 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+OP4_SQL = r"""
+WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r(kind, host, path) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+f AS (SELECT h.page_id, max({'n': length(r.host || r.path), 'rule': r.host || r.path, 'kind': r.kind}) AS fit
+      FROM h JOIN r ON starts_with(h.path, r.path) AND (h.host = r.host OR ends_with(h.host, '.' || r.host)) GROUP BY h.page_id)
+SELECT h.page_id, h.host, h.path, fit.rule AS rule,
+       coalesce(fit.kind, CASE WHEN regexp_matches(h.host, '(^|\.)(adult|ads|casino|cheap|free|spam)-') THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN f USING (page_id)
+"""
+
+
+@query("op4_url_cascade", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    hosts = pages.select(url_cascade.split_url(F.col("url"))[0].alias("key"))
+    listed = hosts.filter(F.exists(F.split("key", "\\."), lambda label: label.rlike(f"^({'|'.join(TOPICS)})"))).distinct()
+    return url_cascade.judge(pages, RULES, listed)
+
+
+@query("op5_contextual_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(table(spark, sf_dir, "documents"))
+
+    def n(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        n(0).alias("n_email"),
+        n(1).alias("n_ip"),
+        n(2).alias("n_card"),
+        n(3).alias("n_phone"),
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), fold=5))
+
+
 @query("op7_warc_revisits")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark).root}/warc"
@@ -86,3 +147,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     return byte_bpe.digests(byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
+@query("op8_vantage_points")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.1)
+
+
+@query("op10_benchmark_windows")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_similarity=0.8)
