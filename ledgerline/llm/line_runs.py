@@ -23,6 +23,9 @@ Words are runs of ``[^\\x20\\x09-\\x0D]``; a line ends at ``\\n``. Null texts co
 and stay. Rows that repeat id and text are one document given more than once and share
 its fate; rows that repeat an id with another text are apart. An empty table gives
 an empty result. All steps are DataFrame operations.
+
+The joins are merge joins at every size: what they hold grows with the corpus, and AQE can
+split a hot line's partition.
 """
 
 from __future__ import annotations
@@ -88,7 +91,7 @@ def copied_runs(rows: DataFrame, scratch: Scratch, min_words: int = 50) -> DataF
     names = scratch.save(_ranked(lines, ["a", "b"]), "names0")
     by_doc = Window.partitionBy("_id", "_h").orderBy("n")
     found = (
-        lines.join(names, ["a", "b"])
+        lines.join(names.hint("merge"), ["a", "b"])
         .select("_id", "_h", "n", "w", F.col("rank").alias("r0"))
         .distinct()  # a document given twice
         .withColumn("g", F.col("n") - F.row_number().over(by_doc))
@@ -124,7 +127,7 @@ def copied_runs(rows: DataFrame, scratch: Scratch, min_words: int = 50) -> DataF
         pairs = paired.withColumn("_a", F.when(none, apart).otherwise(F.col("_a"))).withColumn("_b", F.when(none, F.lit(-1)).otherwise(F.col("_b")))
         level += 1
         names = scratch.save(_ranked(pairs.filter("_b >= 0"), ["_a", "_b"]), f"names{level}")
-        joined = pairs.join(names.withColumnRenamed("rank", f"r{level}"), ["_a", "_b"], "left").drop("_a", "_b")
+        joined = pairs.join(names.withColumnRenamed("rank", f"r{level}").hint("merge"), ["_a", "_b"], "left").drop("_a", "_b")
         flat = scratch.save(joined, f"flat{level}")
         scratch.drop(f"flat{level - 1}")
         scratch.drop(f"names{level}")
@@ -134,7 +137,7 @@ def copied_runs(rows: DataFrame, scratch: Scratch, min_words: int = 50) -> DataF
         flat.groupBy(*segment)
         .agg(F.sort_array(F.collect_list(F.struct("n", *ranks))).alias("x"))
         .alias("f")
-        .join(runs.alias("u"), F.expr("f._id <=> u._id and f._h = u._h and f.g = u.g"))
+        .join(runs.alias("u").hint("merge"), F.expr("f._id <=> u._id and f._h = u._h and f.g = u.g"))
         .select("u._id", "u._h", "s", "x", "runs")
     )
 
@@ -155,7 +158,7 @@ def copied_runs(rows: DataFrame, scratch: Scratch, min_words: int = 50) -> DataF
     places = scratch.save(places.filter("a is not null and b is not null"), "places")
     place = F.struct(F.col("_id"), F.col("_h"), F.col("n"))
     first = places.groupBy("l", "a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n_places")).filter("n_places > 1")
-    later = places.join(first, ["l", "a", "b"]).filter(place > F.col("first")).select("_id", "_h", F.col("n").alias("first"), (F.col("n") + F.col("l")).alias("last"))
+    later = places.join(first.hint("merge"), ["l", "a", "b"]).filter(place > F.col("first")).select("_id", "_h", F.col("n").alias("first"), (F.col("n") + F.col("l")).alias("last"))
     # overlapping and touching runs become one
     before = Window.partitionBy("_id", "_h").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("_id", "_h").orderBy("first", "last")
@@ -175,7 +178,7 @@ def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     runs = copied_runs(rows, scratch, min_words)
     per_doc = runs.groupBy("_id", "_h").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("cut"))
     per_doc = scratch.save(per_doc, "cut").select(F.col("_id").alias("c_id"), F.col("_h").alias("c_h"), "cut")
-    joined = rows.join(per_doc, rows["_id"].eqNullSafe(F.col("c_id")) & (rows["_h"] == F.col("c_h")), "left")
+    joined = rows.join(per_doc.hint("merge"), rows["_id"].eqNullSafe(F.col("c_id")) & (rows["_h"] == F.col("c_h")), "left")
     lines = F.split("_text", SPLIT, -1)
     gaps = F.transform(
         F.sequence(F.lit(0), F.size("cut")),
