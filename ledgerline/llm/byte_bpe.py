@@ -18,13 +18,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import text_of
 
-CACHED_WORDS = 400_000  # words whose ids a task remembers; more are folded again
+CACHED_WORDS = 150_000  # words whose ids a task remembers; more are folded again
 DOCS = 150  # documents whose new words are folded together
 LONG_WORD = 64  # bytes from which a heap finds the next merge
 
@@ -187,15 +187,19 @@ class Coder:
 
 
 def _mapped(df: DataFrame, ranks: dict[bytes, int], pattern: str, schema: str, make) -> DataFrame:
+    """``make`` turns the second column's values, some rows at a time, into the columns after the first."""
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(*shared.value)
-        for frame in frames:
-            for at in range(0, len(frame), DOCS):
-                yield make(coder, frame.iloc[at : at + DOCS])
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS):
+                some = batch.slice(at, DOCS)
+                made = make(coder, some.column(1).to_pylist())
+                names = ["doc_id", *made]
+                yield pa.RecordBatch.from_arrays([some.column(0), *[pa.array(v, pa.binary()) for v in made.values()]], names=names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,7 +208,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str =
     kind = need.schema["doc_id"].dataType.simpleString()
     return _mapped(
         need, ranks, pattern, f"doc_id {kind}, ids binary",
-        lambda c, f: pd.DataFrame({"doc_id": f["doc_id"], "ids": c.encode_all(f["text"].tolist())}),
+        lambda c, texts: {"ids": c.encode_all(texts)},
     )
 
 
@@ -214,7 +218,7 @@ def decode(coded: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame
     kind = need.schema["doc_id"].dataType.simpleString()
     return _mapped(
         need, ranks, pattern, f"doc_id {kind}, bytes binary",
-        lambda c, f: pd.DataFrame({"doc_id": f["doc_id"], "bytes": [c.decode(i) for i in f["ids"]]}),
+        lambda c, coded: {"bytes": [c.decode(i) for i in coded]},
     )
 
 
@@ -223,9 +227,9 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: s
     need = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text"))
     kind = need.schema["doc_id"].dataType.simpleString()
 
-    def both(c: Coder, f: pd.DataFrame) -> pd.DataFrame:
-        ids = c.encode_all(f["text"].tolist())
-        return pd.DataFrame({"doc_id": f["doc_id"], "ids": ids, "bytes": [c.decode(i) for i in ids]})
+    def both(c: Coder, texts: list[str]) -> dict[str, list[bytes]]:
+        ids = c.encode_all(texts)
+        return {"ids": ids, "bytes": [c.decode(i) for i in ids]}
 
     return _mapped(need, ranks, pattern, f"doc_id {kind}, ids binary, bytes binary", both)
 

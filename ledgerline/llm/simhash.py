@@ -30,6 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ from ledgerline.llm.common import Scratch, keyed, text_of
 
 SEED = 42
 PART_SIZE = 8192  # fingerprints of a bucket that one task holds
+DOCS = 200  # texts that a task turns into strings at a time
 PAIRS = 1 << 19  # (query, word) pairs compared at a time
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -67,13 +69,14 @@ def fingerprints(rows: DataFrame, text: str, shingle: int = 3) -> DataFrame:
     keep = [c for c in rows.columns if c != text]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[keep].copy()
-            out["fp"] = np.array([fingerprint(t, shingle) for t in frame[text]], dtype=np.uint64).view(np.int64)
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS):
+                some = batch.slice(at, DOCS)
+                fp = np.array([fingerprint(t, shingle) for t in some.column(text).to_pylist()], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in keep], pa.array(fp)], names=[*keep, "fp"])
 
-    return rows.mapInPandas(run, f"{schema}, fp bigint")
+    return rows.mapInArrow(run, f"{schema}, fp bigint")
 
 
 def block_masks(radius: int, blocks: int) -> list[int]:

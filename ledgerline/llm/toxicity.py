@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_of
+from ledgerline.llm.common import Scratch, text_of
 
 STEM = 5
 WINDOW = 64  # words
+DOCS = 200  # texts that a task turns into strings at a time
 LEVEL = 3
 EDGE = ".,;:!?|*&%$#\"'()[]{}<>-_+=~`/\\"
 
@@ -40,7 +41,7 @@ EDGE = ".,;:!?|*&%$#\"'()[]{}<>-_+=~`/\\"
 class Coder:
     """Writes words as codes; remembers the codes of ``MEMORY`` word beginnings."""
 
-    MEMORY = 500_000
+    MEMORY = 100_000
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}
@@ -163,6 +164,7 @@ def train(
     chosen = known.filter("y = 1").orderBy(by_hash, "id").limit(sample).union(known.filter("y = 0").orderBy(by_hash, "id").limit(sample))
     # at most twice the sample: a bound that does not depend on the tables
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), text_of(text).alias("text")).join(F.broadcast(chosen), "id")
+    texts = Scratch(docs.sparkSession).save(texts, "sample")
 
     def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder()
@@ -210,12 +212,15 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     need = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text"))
     kind = need.schema["doc_id"].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meter = Meter(model.ordinary, model.toxic)
-        for f in frames:
-            yield pd.DataFrame({"doc_id": f["doc_id"], "score": model.scores(f["text"].tolist(), meter)})
+        for batch in batches:
+            for first in range(0, batch.num_rows, DOCS):
+                some = batch.slice(first, DOCS)
+                scores = model.scores(some.column(1).to_pylist(), meter)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(scores)], names=["doc_id", "score"])
 
-    out = need.mapInPandas(run, f"doc_id {kind}, score double")
+    out = need.mapInArrow(run, f"doc_id {kind}, score double")
     return out.select("doc_id", _held_out("doc_id", fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -226,7 +231,9 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meter = Meter(model.ordinary, model.toxic)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(model.scores(texts, meter) < 0.5))
+            for first in range(0, batch.num_rows, DOCS):
+                some = batch.slice(first, DOCS)
+                texts = [t or "" for t in some.column(at).to_pylist()]
+                yield some.filter(pa.array(model.scores(texts, meter) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
