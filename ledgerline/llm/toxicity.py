@@ -73,7 +73,8 @@ class Meter:
             if len(content) < 8:  # nothing characteristic: a plain compressor
                 made = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
             else:
-                own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                # the library indexes no position in the last 8 bytes
+                own = zstandard.ZstdCompressionDict(content + bytes(16), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 own.precompute_compress(level=LEVEL)
                 made = zstandard.ZstdCompressor(dict_data=own, write_content_size=False, write_checksum=False, write_dict_id=False)
             self.length.append(made.compress)
