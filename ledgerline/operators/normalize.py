@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -17,8 +17,20 @@ from ledgerline.functions import text as T
 from ledgerline.functions.money import as_col, is_reject, round_cents, to_number
 
 
+def last_landed(raw: DataFrame, key: str) -> DataFrame:
+    """One record per key, the last in ingest order: pages shift while they are fetched and repeat records.
+
+    Rows without ingest columns come from a table whose keys are unique.
+    """
+    if not {"_page", "_pos"} <= set(raw.columns):
+        return raw
+    latest = Window.partitionBy(key).orderBy(ingest_order().desc())
+    return raw.withColumn("_nth", F.row_number().over(latest)).filter("_nth = 1").drop("_nth")
+
+
 def clean_categories(raw: DataFrame) -> DataFrame:
     """codigo, nome, grupo; drops unavailable and unnamed categories."""
+    raw = last_landed(raw, "codigo")
     named = F.coalesce(F.col("descricao"), F.lit("")) != ""
     return raw.filter(named & ~F.col("descricao").contains(K.UNAVAILABLE_CATEGORY)).select(
         "codigo", T.strip_code_prefix("descricao").alias("nome"), T.category_group("codigo").alias("grupo")
@@ -26,6 +38,7 @@ def clean_categories(raw: DataFrame) -> DataFrame:
 
 
 def clean_projects(raw: DataFrame) -> DataFrame:
+    raw = last_landed(raw, "codigo")
     named = F.coalesce(F.col("nome"), F.lit("")) != ""
     return raw.filter(F.col("codigo").isNotNull() & (F.col("codigo") != 0) & named).select(
         F.col("codigo").alias("id"), "nome"
@@ -34,6 +47,7 @@ def clean_projects(raw: DataFrame) -> DataFrame:
 
 def client_names(raw: DataFrame) -> DataFrame:
     """id -> trade name, else legal name."""
+    raw = last_landed(raw, "codigo_cliente")
     name = F.coalesce(F.nullif("nome_fantasia", F.lit("")), F.nullif("razao_social", F.lit("")))
     return raw.select(F.col("codigo_cliente").alias("id"), name.alias("nome")).filter(
         F.col("id").isNotNull() & (F.col("id") != 0) & F.col("nome").isNotNull()
@@ -42,6 +56,7 @@ def client_names(raw: DataFrame) -> DataFrame:
 
 def clean_clients(raw: DataFrame) -> DataFrame:
     """Client registry, one row per client with an id."""
+    raw = last_landed(raw, "codigo_cliente")
     return raw.filter(F.col("codigo_cliente").isNotNull() & (F.col("codigo_cliente") != 0)).select(
         F.col("codigo_cliente").alias("id"),
         F.coalesce("nome_fantasia", F.lit("")).alias("nome_fantasia"),

@@ -54,7 +54,7 @@ def top_products(items: DataFrame, k: int = 10) -> DataFrame:
     return (
         items.groupBy(name.alias("produto"))
         .agg(
-            F.sum(F.coalesce("produto_quantidade", F.lit(0.0))).alias("qtd"),
+            F.sum(F.coalesce("produto_quantidade", F.lit(0.0)).cast("decimal(18,4)")).cast("double").alias("qtd"),
             money_sum("produto_valor_total").alias("valor"),
         )
         .orderBy(F.desc("valor"), "produto")

@@ -13,14 +13,6 @@ from ledgerline.functions import text as T
 PROJECT, CLIENT = "projeto", "cliente"
 
 
-def ledger_names(ledger: DataFrame) -> DataFrame:
-    """nome, tipo: distinct project and client names of the ledger."""
-    projects = ledger.filter(F.col("projeto_nome") != K.NO_PROJECT).select(F.col("projeto_nome").alias("nome"))
-    clients = ledger.filter(F.col("cliente_nome") != "").select(F.col("cliente_nome").alias("nome"))
-    tagged = lambda df, t: df.distinct().select("nome", F.lit(t).alias("tipo"))
-    return tagged(projects, PROJECT).unionByName(tagged(clients, CLIENT))
-
-
 def resolve_names(names: DataFrame, question: str, k: int = 10) -> DataFrame:
     """Projects and clients a question may mean.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -23,19 +22,3 @@ def local_session(cores: int | str = 8, partitions: int | None = None, app: str
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach; used for lineage cuts and stream state.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    and the master is local (tests) is a folder of this machine taken instead.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder

@@ -47,7 +47,7 @@ def merge_table(store: T.TableStore, table: str, source: DataFrame) -> tuple[int
     kinds = (M.INSERTED, M.UPDATED, M.DELETED, M.UNCHANGED)
     if source.isEmpty():
         return None, dict.fromkeys(kinds, 0)
-    target = store.read(table)
+    target = store.read(table, role="exec")
     actions = M.merge_actions(target, conform(source, table), TABLES[table].key[0], MERGE_RULES[table])
     seen = Observation()
     counted = actions.observe(seen, *[F.count_if(F.col("action") == k).alias(k) for k in kinds])
@@ -120,7 +120,7 @@ def _write_all(store: T.TableStore, landed: Landed, started_at: dt.datetime, ign
         if counts[table]:
             versions[table] = version
     fresh = conform(stamped(M.snapshot_rows(landed.points)), "historico_saldos")
-    kept = T.within_retention(store.read("historico_saldos"), D.as_date(day))
+    kept = T.within_retention(store.read("historico_saldos", role="exec"), D.as_date(day))
     versions["historico_saldos"], counts["historico_saldos"] = store.write_version(
         "historico_saldos", kept.unionByName(fresh)
     )

@@ -50,7 +50,8 @@ class TableStore:
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version}"
 
-    def read(self, table: str, role: str = "exec") -> DataFrame:
+    def read(self, table: str, role: str = "user") -> DataFrame:
+        """The published version; restricted tables need a role that may see them."""
         check_access(table, role)
         return self.read_version(table, self.version(table))
 

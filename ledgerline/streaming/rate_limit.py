@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SLICE_WINDOWS = 8
@@ -80,12 +81,17 @@ def _ordered_pass(limit: int, window: int):
 def admissions(
     events: DataFrame, user: str, ts: str, event_id: str, limit: int = 10, window_seconds: int = 60
 ) -> DataFrame:
-    """Adds ``accepted`` to (user, ts, event_id) rows."""
+    """Adds ``accepted`` to (user, ts, event_id) rows. A request without a time can't be placed and is refused."""
     window = window_seconds * 1_000_000
     span = SLICE_WINDOWS * window
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    timed = F.col(ts)
+    if isinstance(events.schema[ts].dataType, TimestampNTZType):
+        # read as UTC, whatever the session's zone: distances must not jump with its clock
+        timed = F.concat(timed.cast("string"), F.lit("Z"))
+    micros = F.unix_micros(timed.cast("timestamp"))
     rows = events.select(user, ts, event_id, F.col(user).alias("_user"), micros.alias("_t"))
-    rows = rows.withColumn("_slice", F.floor(F.col("_t") / span))
+    untimed = rows.filter("_t IS NULL").select(user, ts, event_id, F.lit(False).alias("accepted"))
+    rows = rows.filter("_t IS NOT NULL").withColumn("_slice", F.floor(F.col("_t") / span))
     tail = F.col("_t") >= (F.col("_slice") + 1) * span - window
     placed = rows.withColumn(
         "_at", F.explode(F.when(tail, F.array(F.col("_slice"), F.col("_slice") + 1)).otherwise(F.array("_slice")))
@@ -113,7 +119,7 @@ def admissions(
     busy = busy.select(user, ts, event_id, "_user", "_chain", "_t", (~own).alias("_context"))
     ordered = busy.repartition("_user", "_chain").sortWithinPartitions("_user", "_chain", "_t", event_id)
     schema = events.select(user, ts, event_id).withColumn("accepted", F.lit(True)).schema
-    return free.unionByName(ordered.mapInArrow(_ordered_pass(limit, window), schema))
+    return free.unionByName(ordered.mapInArrow(_ordered_pass(limit, window), schema)).unionByName(untimed)
 
 
 def admit_stream(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import health, maintenance
@@ -50,19 +51,32 @@ def read_history(
 
 
 def stream_merges(
-    snapshots: DataFrame, store: TableStore, table: str, checkpoint: str, snapshot_col: str
+    snapshots: DataFrame, store: TableStore, table: str, checkpoint: str, snapshot_col: str, size_col: str | None = None
 ) -> StreamingQuery:
     """Takes over arriving snapshots in order; ``snapshot_col`` numbers them from 1.
 
     The number is the table version, so a replayed micro-batch writes the same
-    versions again. The base of version n is always version n - 1.
+    versions again. The base of version n is always version n - 1. A snapshot may be
+    spread over micro-batches: its rows are staged, one folder per micro-batch, and each
+    part that arrives merges the whole of what is staged, with the versions after it.
+    With ``size_col`` (rows of the whole snapshot) a version is written only once all are there.
     """
     key, compare = TABLES[table].key[0], MERGE_RULES[table]
+    staged = f"{store.root}/{table}_staged"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        numbers = [r[0] for r in batch.select(snapshot_col).distinct().orderBy(snapshot_col).collect()]
-        for n in numbers:
-            source = batch.filter(batch[snapshot_col] == n).drop(snapshot_col)
+        batch.write.mode("overwrite").parquet(f"{staged}/lote={batch_id}")
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(f"{staged}/lote=*")
+        first = batch.agg({snapshot_col: "min"}).first()[0]
+        if first is None:
+            return
+        have = rows.filter(F.col(snapshot_col) >= first).groupBy(snapshot_col).agg(
+            F.count(F.lit(1)).alias("n"), (F.max(size_col) if size_col else F.lit(None).cast("long")).alias("size")
+        )  # one row per snapshot since the oldest of this micro-batch
+        for n, seen, size in have.orderBy(snapshot_col).collect():
+            if size is not None and seen < size:
+                break
+            source = rows.filter(F.col(snapshot_col) == n).drop(snapshot_col, *([size_col] if size_col else []))
             base = store.read_version(table, n - 1)
             merged = maintenance.merge_snapshot(base, source, key, compare)
             store.write_version(table, merged, n)

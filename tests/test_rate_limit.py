@@ -98,3 +98,15 @@ def test_given_events(spark, window):
     rows = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     df = R.admissions(rows, "user_id", "ts", "event_id", 5, window)
     assert df.filter(~F.col("accepted")).count() == 485 and df.count() == 10000
+
+
+def test_time_zone_and_missing_times(spark):
+    rows = [("u", "2024-03-31 01:59:50", 1), ("u", "2024-03-31 03:00:10", 2), ("u", None, 3)]
+    events = spark.createDataFrame(rows, "user STRING, t STRING, id INT").selectExpr("user", "CAST(t AS TIMESTAMP_NTZ) AS ts", "id")
+    for zone in ("UTC", "Europe/Berlin"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r.id: r.accepted for r in R.admissions(events, "user", "ts", "id", 1, 60).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == {1: True, 2: True, 3: False}

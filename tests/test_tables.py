@@ -28,21 +28,21 @@ def projects(spark, rows):
 def test_replace_and_read(spark, store):
     assert store.replace("projetos", projects(spark, [(1, "a"), (2, "b")])) == 2
     assert store.replace("projetos", projects(spark, [(3, "c")])) == 1
-    assert [r.id for r in store.read("projetos").collect()] == [3]
+    assert [r.id for r in store.read("projetos", role="exec").collect()] == [3]
 
 
 def test_empty_replace_keeps_the_table(spark, store):
     store.replace("projetos", projects(spark, [(1, "a")]))
     assert store.replace("projetos", schemas.empty(spark, "projetos")) == 0
-    assert store.read("projetos").count() == 1
+    assert store.read("projetos", role="exec").count() == 1
 
 
 def test_unpublished_version_is_invisible(spark, store):
     store.replace("projetos", projects(spark, [(1, "a")]))
     v, n = store.write_version("projetos", projects(spark, [(9, "z")]))
-    assert n == 1 and [r.id for r in store.read("projetos").collect()] == [1]
+    assert n == 1 and [r.id for r in store.read("projetos", role="exec").collect()] == [1]
     store.publish({"projetos": v})
-    assert [r.id for r in store.read("projetos").collect()] == [9]
+    assert [r.id for r in store.read("projetos", role="exec").collect()] == [9]
 
 
 def test_append_history_and_partitions(spark, store):
@@ -52,7 +52,7 @@ def test_append_history_and_partitions(spark, store):
 
     assert store.append("historico_saldos", snap(1, 10.0)) == 1
     assert store.append("historico_saldos", snap(2, 20.0)) == 1
-    history = store.read("historico_saldos")
+    history = store.read("historico_saldos", role="exec")
     assert history.count() == 2
     assert [r.saldo_atual for r in maintenance.latest_history(history).collect()] == [20.0]
     plan = tables.within_retention(history, "2027-04-02")._jdf.queryExecution().executedPlan().toString()
@@ -62,7 +62,7 @@ def test_append_history_and_partitions(spark, store):
 def test_ensure_schema(spark, store):
     assert set(store.ensure_schema()) == set(schemas.TABLES)
     assert store.ensure_schema() == []
-    assert store.read("lancamentos").schema.names == schemas.TABLES["lancamentos"].columns
+    assert store.read("lancamentos", role="exec").schema.names == schemas.TABLES["lancamentos"].columns
     assert len(schemas.TABLES["lancamentos"].columns) == 21
 
 
@@ -105,7 +105,7 @@ def test_run_log(spark, store):
     store.append("sync_log", tables.log_success(spark, "a", NOW, end, {"lancamentos": 57}))
     store.append("sync_log", tables.log_start(spark, "b", NOW + dt.timedelta(hours=1)))
     store.append("sync_log", tables.log_failure(spark, "b", NOW + dt.timedelta(hours=1), NOW + dt.timedelta(hours=2), "x" * 9000))
-    log = store.read("sync_log")
+    log = store.read("sync_log", role="exec")
     last = {r.sync_id: r for r in health.latest_events(log).collect()}
     assert last["a"].status == "success" and last["a"].duration_seconds == 75 and last["a"].lancamentos_count == 57
     assert last["b"].status == "failed" and len(last["b"].error_message) == 4000
@@ -127,9 +127,38 @@ def test_landed_pages(spark, tmp_path):
     ]
     for p in pages:
         (tmp_path / f"p{p['pagina']}.json").write_text(json.dumps(p))
-    df = raw.read_raw(spark, "projects", str(tmp_path), "cadastro", max_pages=2, rename={"cod": "codigo"})
+    df = raw.read_raw(spark, "projects", str(tmp_path), "cadastro", rename={"cod": "codigo"})
     got = [tuple(r) for r in df.orderBy("_page", "_pos").collect()]
-    assert got == [(1, "a", 1, 0), (2, "b", 1, 1), (3, None, 2, 0)]
+    assert got == [(1, "a", 1, 0), (2, "b", 1, 1), (3, None, 2, 0), (4, "d", 3, 0)]
+
+
+@pytest.mark.parametrize("fault", ["cut", "missing", "short", "twice", "indented"])
+def test_landed_pages_never_lose_a_record(spark, tmp_path, fault):
+    pages = [{"pagina": n, "total_de_paginas": 3, "cadastro": [{"codigo": n, "nome": "a"}]} for n in (1, 2, 3)]
+    lines = [json.dumps(p) for p in pages]
+    if fault == "cut":
+        lines[1] = lines[1][:-12]
+    elif fault == "missing":
+        del lines[1]
+    elif fault == "short":
+        del lines[2]
+    elif fault == "twice":
+        lines.append(lines[0])
+    else:
+        lines[1] = json.dumps(pages[1], indent=1)
+    for n, line in enumerate(lines):
+        (tmp_path / f"p{n}.json").write_text(line)
+    with pytest.raises(Exception):  # noqa: B017
+        raw.read_raw(spark, "projects", str(tmp_path), "cadastro").collect()
+    if fault == "indented":
+        assert raw.read_raw(spark, "projects", str(tmp_path), "cadastro", multi_line=True).count() == 3
+
+
+def test_repeated_lookup_records_keep_the_last(spark):
+    from ledgerline.operators import normalize
+
+    projects = spark.createDataFrame([(1, "old", 1, 0), (1, "new", 2, 0), (2, "b", 1, 1)], "codigo BIGINT, nome STRING, _page BIGINT, _pos INT")
+    assert sorted(tuple(r) for r in normalize.clean_projects(projects).collect()) == [(1, "new"), (2, "b")]
 
 
 def test_document(spark, tmp_path):
@@ -194,7 +223,7 @@ def test_merge_stream_equals_batch(spark, store, tmp_path):
         df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     streams.stream_merges(stream, store, "projetos", str(tmp_path / "cp"), "n").awaitTermination()
-    got = sorted((r.id, r.nome, r.sync_timestamp.day) for r in store.read("projetos").collect())
+    got = sorted((r.id, r.nome, r.sync_timestamp.day) for r in store.read("projetos", role="exec").collect())
     assert got == [(3, "c", 3), (4, "d", 4)], "an unchanged row keeps its old stamp"
     assert store.version("projetos") == 3
 
