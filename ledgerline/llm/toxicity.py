@@ -110,14 +110,21 @@ def features(saved: list[tuple[int, int]]) -> np.ndarray:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> list[float]:
-    """Weights by Newton steps."""
+    """Weights by Newton steps, halved until the loss falls: classes may be separable."""
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - y @ z + ridge * (w @ w) / 2)
+
     w = np.zeros(x.shape[1])
-    for _ in range(50):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
-        w = w + step
+        while np.abs(step).max() > 1e-9 and loss(w + step) > loss(w):
+            step = step / 2
         if np.abs(step).max() < 1e-9:
             break
+        w = w + step
     return w.tolist()
 
 
