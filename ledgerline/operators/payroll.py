@@ -136,14 +136,14 @@ def headcount(cells: DataFrame, year: int, sheet: str = SUMMARY_SHEET) -> DataFr
 
 
 def area_cost(cells: DataFrame, year: int, sheet: str = SUMMARY_SHEET) -> DataFrame:
-    """mes, area, valor; area names stand in column 1."""
+    """mes, area, valor; area names stand in column 1. An empty cell counts as 0."""
     first, last = K.AREA_ROWS
     areas = cells.filter(
         (F.col("sheet") == sheet) & (F.col("col") == 1) & F.col("row").between(first, last)
         & (F.coalesce("value", F.lit("")) != "") & (F.col("value") != K.AREA_TOTAL_LABEL)
     ).select("row", F.col("value").alias("area"))
     found = _summary_cells(cells, sheet, year).filter(F.col("row").between(first, last))
-    return areas.join(found, "row").select("mes", "area", F.round("valor", 2).alias("valor"))
+    return areas.join(found, "row").select("mes", "area", F.coalesce(F.round("valor", 2), F.lit(0.0)).alias("valor"))
 
 
 # --- gap filling -------------------------------------------------------------
@@ -373,14 +373,15 @@ def per_capita_ranking(demographic: DataFrame, mes: str) -> DataFrame:
     )
 
 
-def headcount_history(history: DataFrame, hc: DataFrame) -> DataFrame:
-    """Year x month matrix of closing headcounts. ``history``: ano, mes_num, hc."""
+def headcount_history(history: DataFrame, hc: DataFrame, current_year: int) -> DataFrame:
+    """Year x month matrix of closing headcounts. ``history``: ano, mes_num, hc; ``hc`` holds the current year instead."""
     now = hc.select(
         F.substring("mes", 1, 4).cast("int").alias("ano"),
         F.substring("mes", 6, 2).cast("int").alias("mes_num"),
         F.col("final").cast("long").alias("hc"),
     )
-    every = history.select("ano", "mes_num", F.col("hc").cast("long").alias("hc")).unionByName(now)
+    past = history.filter(F.col("ano") != current_year)
+    every = past.select("ano", "mes_num", F.col("hc").cast("long").alias("hc")).unionByName(now)
     wide = every.groupBy("ano").pivot("mes_num", list(range(1, 13))).agg(F.max("hc"))
     cols = [F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(f"m{m:02d}") for m in range(1, 13)]
     out = wide.select("ano", *cols)

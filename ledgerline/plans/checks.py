@@ -112,14 +112,21 @@ part(
  ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1""",
 )
 part(
-    "items",
+    "linhas_pedido",
     """SELECT o_orderkey AS pedido_id, o_totalprice AS valor_mercadorias,
  CASE left(o_orderpriority, 1) WHEN '1' THEN 'Em Aberto' WHEN '2' THEN 'Em Aprovação' WHEN '3' THEN 'Aprovado'
   WHEN '4' THEN 'Separar' ELSE '95' END AS etapa,
  CASE WHEN o_orderkey % 29 <> 0 THEN CAST(o_orderdate AS DATE) END AS data_previsao,
- p_name AS produto_descricao, l_quantity AS produto_quantidade, l_extendedprice AS produto_valor_total
+ p_name AS produto_descricao, l_quantity AS produto_quantidade, l_extendedprice AS produto_valor_total, l_linenumber
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey""",
 )
+# Even lines come with a free sample.
+part(
+    "items",
+    """SELECT * EXCLUDE (l_linenumber) FROM linhas_pedido UNION ALL SELECT pedido_id, valor_mercadorias, etapa, data_previsao, produto_descricao, 1.0::DOUBLE, 0.0::DOUBLE
+ FROM linhas_pedido WHERE l_linenumber % 2 = 0""",
+    "linhas_pedido",
+)
 part("pedidos", "SELECT DISTINCT pedido_id, valor_mercadorias, etapa, data_previsao FROM items", "items")
 part(
     "cli",
@@ -146,7 +153,7 @@ part(
  CASE WHEN p_type = 'PROMO' AND mes LIKE '%-02' THEN 0 ELSE CAST((gross * ({FACTOR}) + 50) // 100 AS DOUBLE) / 100 END AS valor_bp,
  mes < '2000-01' AS mes_com_real
 FROM (SELECT p_type, strftime(l_shipdate, '%Y-%m') AS mes, {NET} AS net, {GROSS} AS gross
- FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)""",
+ FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)""",
 )
 part(
     "fin",
@@ -191,16 +198,23 @@ part(
     "SELECT '1999-' || lpad(CAST(i AS VARCHAR), 2, '0') AS mes, i FROM range(1, 13) t(i)",
 )
 RUBRICS = ("salarios", "softwares", "beneficios", "comissao", "rescisao", "bonus", "impostos", "treinamentos", "decimo_terceiro")
+# Lines of September and November are booked a month later, those of the seventh rubric on the eighth.
+part(
+    "linhas",
+    """SELECT CASE WHEN month(l_shipdate) IN (9, 11) THEN month(l_shipdate) + 1 ELSE month(l_shipdate) END AS mm, l_suppkey, l_linenumber,
+ CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM lineitem""",
+)
 part(
     "custo",
     "SELECT mes, rubrica, COALESCE(v, 0) AS valor FROM (SELECT mes, i, unnest(["
     + ",".join(f"'{r}'" for r in (*RUBRICS, "total"))
     + f"""]) AS rubrica FROM months12) g LEFT JOIN (
- SELECT month(l_shipdate) AS mm, COALESCE(CASE l_suppkey % 9 {' '.join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(RUBRICS))} END, 'total') AS r,
-  CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v
- FROM lineitem WHERE month(l_shipdate) NOT IN (9, 11) AND l_suppkey % 9 <> 7 GROUP BY GROUPING SETS ((month(l_shipdate), l_suppkey % 9), (month(l_shipdate)))
+ SELECT mm, COALESCE(rub, 'total') AS r, CAST(SUM(c) AS DOUBLE) AS v FROM (
+  SELECT *, CASE l_suppkey % 9 {' '.join(f"WHEN {i} THEN '{RUBRICS[8] if i == 7 else r}'" for i, r in enumerate(RUBRICS))} END AS rub FROM linhas
+ ) GROUP BY GROUPING SETS ((mm, rub), (mm))
 ) x ON x.mm = g.i AND x.r = g.rubrica""",
     "months12",
+    "linhas",
 )
 # Gap filling: the two empty months take the month before.
 part(
@@ -211,8 +225,9 @@ part(
 )
 part(
     "areas",
-    """SELECT '1999-' || lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') AS mes, 'Area ' || l_linenumber AS area,
- CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS valor FROM lineitem WHERE month(l_shipdate) NOT IN (9, 11) GROUP BY 1, 2""",
+    """SELECT '1999-' || lpad(CAST(mm AS VARCHAR), 2, '0') AS mes, 'Area ' || l_linenumber AS area, CAST(SUM(c) AS DOUBLE) AS valor FROM linhas GROUP BY 1, 2
+ UNION ALL SELECT DISTINCT unnest(['1999-09', '1999-11']), 'Area ' || l_linenumber, 0.0::DOUBLE FROM linhas""",
+    "linhas",
 )
 part(
     "hc",
@@ -232,7 +247,7 @@ FROM folha_raw WHERE idade IS NOT NULL GROUP BY GROUPING SETS ((mes, dept), (mes
 )
 part(
     "nat",
-    f"SELECT c_nationkey AS nacao, strftime(o_orderdate, '%Y-%m') AS mes, {m(None, 'o_totalprice')} AS valor FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2",
+    f"SELECT c_nationkey AS nacao, strftime(o_orderdate, '%Y-%m') AS mes, {m(None, 'o_totalprice')} AS valor FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2",
 )
 part(
     "slog",

@@ -237,16 +237,13 @@ def _(s, sf):
     return flows.cash_flow_cube(cash_rows(I.ledger(s, sf, "category")))
 
 
-MONTHS_2000 = [f"2000-{i:02d}" for i in range(1, 13)]
-
-
 @query(
     "cash_flow_pivot",
     check(
         "SELECT grupo, "
         + ", ".join(
             f"{d(m(ENT + f''' AND {ym('data')} = '{x}' '''), m(SAI + f''' AND {ym('data')} = '{x}' '''))} AS \"{x}\""
-            for x in MONTHS_2000
+            for x in I.ledger_months()
         )
         + " FROM L GROUP BY 1",
         "L",
@@ -254,7 +251,7 @@ MONTHS_2000 = [f"2000-{i:02d}" for i in range(1, 13)]
 )
 def _(s, sf):
     cells = flows.cash_flow_cube(cash_rows(I.ledger(s, sf, "category"))).filter("grupo <> 'TOTAL' AND mes <> 'TOTAL'")
-    return flows.pivot_months(cells, "grupo", "saldo", MONTHS_2000)
+    return flows.pivot_months(cells, "grupo", "saldo", I.ledger_months())
 
 
 @query(

@@ -242,11 +242,11 @@ def raw_payables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_movements(spark: SparkSession, sf: str) -> DataFrame:
-    """Payments of received orders: an earlier duplicate, an unreadable later one, and some missing."""
-    o = table(spark, sf, "orders").filter((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 17 != 0))
+    """Payments of received orders: an earlier duplicate, an unreadable later one, and some that are all unreadable."""
+    o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
     key = F.col("o_orderkey")
     paid = F.date_add(_day("o_orderdate"), (key % 150).cast("int"))
-    br = lambda d: F.date_format(d, "dd/MM/yyyy")
+    br = lambda d: F.when(key % 17 == 0, F.lit("abc")).otherwise(F.date_format(d, "dd/MM/yyyy"))
     seen = F.array_compact(
         F.array(
             F.when(key % 11 == 0, F.struct(F.lit(1).alias("_page"), br(F.date_sub(paid, 3)).alias("d"))),
@@ -301,21 +301,23 @@ def raw_clients(spark: SparkSession, sf: str, suppliers: bool = False) -> DataFr
     )
 
 
-def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales orders in their nested landed shape, one record per delivered item line."""
+def raw_orders(spark: SparkSession, sf: str, items: bool = True) -> DataFrame:
+    """Sales orders in their nested landed shape, one record per delivered item line.
+
+    Even lines come with a second item, a free sample. Without ``items`` an order is one
+    record with its header alone: reports on headers read no lines.
+    """
     o = table(spark, sf, "orders")
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     p = table(spark, sf, "part").select("p_partkey", "p_name")
     key = F.col("o_orderkey")
     digit = F.substring("o_orderpriority", 1, 1)
     stage = F.when(digit == "5", F.lit("95")).otherwise(F.concat(digit, F.lit("0")))
-    item = F.struct(
-        F.struct(
-            F.col("p_name").alias("descricao"),
-            F.col("l_quantity").alias("quantidade"),
-            F.col("l_extendedprice").alias("valor_total"),
-        ).alias("produto")
+    item = lambda quantity, value: F.struct(
+        F.struct(F.col("p_name").alias("descricao"), quantity.alias("quantidade"), value.alias("valor_total")).alias("produto")
     )
+    sold = item(F.col("l_quantity"), F.col("l_extendedprice"))
+    det = F.when(F.col("l_linenumber") % 2 == 0, F.array(sold, item(F.lit(1.0), F.lit(0.0)))).otherwise(F.array(sold))
     header = [
         F.struct(
             key.alias("codigo_pedido"),
@@ -326,15 +328,17 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
     ]
     # Lines drive the join, so an order with very many lines can be split; orders
     # without lines are found against the distinct order keys.
-    lines = li.join(o, li.l_orderkey == o.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey, "left")
-    full = lines.select(*header, F.array(item).alias("det"))
-    sold = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    bare = o.join(sold, "o_orderkey", "left_anti").select(*header, F.lit(None).cast(full.schema["det"].dataType).alias("det"))
-    return full.unionByName(bare)
+    lines = li.join(o, li.l_orderkey == o.o_orderkey, "left").join(p, F.col("l_partkey") == p.p_partkey, "left")
+    full = lines.select(*header, det.alias("det"))
+    none = F.lit(None).cast(full.schema["det"].dataType).alias("det")
+    if not items:
+        return o.select(*header, none)
+    keys = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return full.unionByName(o.join(keys, "o_orderkey", "left_anti").select(*header, none))
 
 
-def order_items(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.order_items(raw_orders(spark, sf))
+def order_items(spark: SparkSession, sf: str, items: bool = True) -> DataFrame:
+    return normalize.order_items(raw_orders(spark, sf, items))
 
 
 def clients(spark: SparkSession, sf: str) -> DataFrame:
@@ -357,15 +361,16 @@ def raw_accounts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_statements(spark: SparkSession, sf: str) -> DataFrame:
-    """Fetched balances; every 43rd account has no statement."""
+    """Fetched balances; those of every 43rd account are missing."""
     c = table(spark, sf, "customer")
     key = F.col("c_custkey")
     idle = key % 41 == 0
     shift = F.when(key % 3 == 0, F.lit(10.5)).otherwise(F.lit(0.0))
-    return c.filter(key % 43 != 0).select(
+    known = key % 43 != 0
+    return c.select(
         key.alias("conta_id"),
-        F.when(idle, F.lit(0.0)).otherwise(F.col("c_acctbal")).alias("saldo"),
-        F.when(idle, F.lit(0.0)).otherwise(F.round(F.col("c_acctbal") - shift, 2)).alias("saldo_conciliado"),
+        F.when(known, F.when(idle, F.lit(0.0)).otherwise(F.col("c_acctbal"))).alias("saldo"),
+        F.when(known, F.when(idle, F.lit(0.0)).otherwise(F.round(F.col("c_acctbal") - shift, 2))).alias("saldo_conciliado"),
     )
 
 
@@ -408,20 +413,24 @@ def latest_balances(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_target(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").filter("o_orderkey % 10 <> 0").select(*_merge_columns())
+    """Every order; a tenth has an id that the source doesn't know (deletes)."""
+    return table(spark, sf, "orders").select(*_merge_columns(0))
 
 
 def merge_source(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").filter("o_orderkey % 10 <> 1")
+    """Every order; a tenth has an id that the target doesn't know (inserts). Dates change too, but are not compared."""
+    o = table(spark, sf, "orders")
     key = F.col("o_orderkey")
     o = o.withColumn("o_totalprice", F.when(key % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
     o = o.withColumn("o_orderpriority", F.when(key % 13 != 0, F.col("o_orderpriority")))
-    return o.select(*_merge_columns())
+    o = o.withColumn("o_orderdate", F.when(key % 11 == 0, F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("o_orderdate")))
+    return o.select(*_merge_columns(1))
 
 
-def _merge_columns() -> list[Column]:
+def _merge_columns(renumbered: int) -> list[Column]:
+    key = F.col("o_orderkey")
     return [
-        F.col("o_orderkey").alias("id"),
+        F.when(key % 10 == renumbered, -key).otherwise(key).alias("id"),
         F.col("o_totalprice").alias("valor"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("prioridade"),
@@ -441,7 +450,7 @@ def _line_facts(spark: SparkSession, sf: str, key: Column) -> DataFrame:
     p = table(spark, sf, "part").select("p_partkey", "p_type")
     gross = cents("l_extendedprice")
     net = gross * (100 - cents("l_discount"))
-    j = li.join(p, li.l_partkey == p.p_partkey)
+    j = li.join(p, li.l_partkey == p.p_partkey, "left")
     return j.groupBy("p_type", key.alias("k")).agg(F.sum(net).alias("net"), F.sum(gross).alias("gross"))
 
 
@@ -469,6 +478,11 @@ def budget(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ledger_months() -> list[str]:
+    """Months in which ledger rows can fall: payments come up to 150 days after the last order."""
+    return [f"{y}-{m:02d}" for y in range(1995, 2003) for m in range(1, 13)]
+
+
 def budget_months() -> list[str]:
     return [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
@@ -562,22 +576,35 @@ def payroll_cells(spark: SparkSession, sf: str, *parts: str, sheet: str = SUMMAR
 
 
 def _cost_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line by its column; those of September and November are booked a month later."""
     li = table(spark, sf, "lineitem")
     m = F.month("l_shipdate")
-    return li.filter(~m.isin(9, 11)).select(
-        (m + 1).alias("col"), "l_linenumber", "l_suppkey", cents("l_extendedprice").alias("c")
-    )
+    booked = F.when(m.isin(*EMPTY_MONTHS), m + 1).otherwise(m)
+    return li.select((booked + 1).alias("col"), "l_linenumber", "l_suppkey", cents("l_extendedprice").alias("c"))
 
 
 def _money_text(c: str) -> Column:
     return F.format_string("%.2f", F.col(c) / 100.0)
 
 
+EMPTY_MONTHS = (9, 11)
+EMPTY_RUBRIC = 7  # its lines are booked on the next one
+
+
+def _empty_cells(cells: DataFrame, months: range | tuple[int, ...]) -> DataFrame:
+    """Cells without a value in the given rows (column ``row``) for some months."""
+    cols = F.array(*[F.lit(m + 1) for m in months])
+    return cells.select("row").distinct().select("row", F.explode(cols).alias("col"), F.lit("").alias("value"))
+
+
 def _rubric_cells(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _cost_lines(spark, sf).filter(F.col("l_suppkey") % 9 != 7)
-    row = (F.col("l_suppkey") % 9 + 4).cast("int")
-    g = lines.rollup("col", row.alias("row")).agg(F.sum("c").alias("c")).filter("col IS NOT NULL")
-    return g.select(F.coalesce("row", F.lit(K.PAYROLL_TOTAL_ROW)).alias("row"), "col", _money_text("c").alias("value"))
+    rubric = F.col("l_suppkey") % 9
+    row = (F.when(rubric == EMPTY_RUBRIC, rubric + 1).otherwise(rubric) + 4).cast("int")
+    g = _cost_lines(spark, sf).rollup("col", row.alias("row")).agg(F.sum("c").alias("c")).filter("col IS NOT NULL")
+    values = g.select(F.coalesce("row", F.lit(K.PAYROLL_TOTAL_ROW)).alias("row"), "col", _money_text("c").alias("value"))
+    rows = spark.range(4, K.PAYROLL_TOTAL_ROW + 1).select(F.col("id").cast("int").alias("row"))
+    empty = _empty_cells(rows, EMPTY_MONTHS).unionByName(_empty_cells(rows.filter(F.col("row") == EMPTY_RUBRIC + 4), range(1, 13)))
+    return values.unionByName(empty)
 
 
 def _area_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -588,7 +615,9 @@ def _area_cells(spark: SparkSession, sf: str) -> DataFrame:
     name = F.when(row_of == 30, K.AREA_TOTAL_LABEL).otherwise(F.concat(F.lit("Area "), (row_of - 22).cast("string")))
     cell = lambda col, v: F.struct(row_of.alias("row"), col.alias("col"), v.alias("value"))
     both = F.array(cell(F.col("col"), _money_text("c")), cell(F.lit(1), name))
-    return g.select(F.explode(both).alias("x")).select("x.*").distinct()
+    values = g.select(F.explode(both).alias("x")).select("x.*").distinct()
+    rows = spark.range(23, 31).select(F.col("id").cast("int").alias("row"))
+    return values.unionByName(_empty_cells(rows, EMPTY_MONTHS))
 
 
 def _headcount_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -621,7 +650,6 @@ def headcount_history(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "orders")
         .groupBy(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes_num"))
         .agg(F.count(F.lit(1)).alias("hc"))
-        .filter("ano <> 1999")
     )
 
 
@@ -630,7 +658,7 @@ def nation_months(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     g = (
-        o.join(c, o.o_custkey == c.c_custkey)
+        o.join(c, o.o_custkey == c.c_custkey, "left")
         .groupBy("c_nationkey", D.month_start(_day("o_orderdate")).alias("_m"))
         .agg((F.sum(cents("o_totalprice")) / 100.0).alias("valor"))
     )

@@ -147,7 +147,7 @@ def _(s, sf):
     check("SELECT pedido_id, valor_mercadorias, etapa, data_previsao FROM pedidos", "pedidos"),
 )
 def _(s, sf):
-    return sales.order_headers(I.order_items(s, sf))
+    return sales.order_headers(I.order_items(s, sf, items=False))
 
 
 @query(
@@ -158,7 +158,7 @@ def _(s, sf):
     ),
 )
 def _(s, sf):
-    return sales.sales_summary(I.order_items(s, sf))
+    return sales.sales_summary(I.order_items(s, sf, items=False))
 
 
 @query(
@@ -169,12 +169,12 @@ def _(s, sf):
     ),
 )
 def _(s, sf):
-    return sales.sales_by_month(I.order_items(s, sf))
+    return sales.sales_by_month(I.order_items(s, sf, items=False))
 
 
 @query("sales_by_stage", check("SELECT etapa, count(*) AS qtd FROM pedidos GROUP BY 1", "pedidos"))
 def _(s, sf):
-    return sales.sales_by_stage(I.order_items(s, sf))
+    return sales.sales_by_stage(I.order_items(s, sf, items=False))
 
 
 @query(

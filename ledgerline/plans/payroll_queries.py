@@ -266,13 +266,13 @@ def _(s, sf):
     check(
         f"""SELECT *, CAST(round((1 - m12::DOUBLE / pico) * 100) AS BIGINT) AS queda_pct FROM (SELECT *, greatest({', '.join(f'm{i:02d}' for i in range(1, 13))}) AS pico FROM (
  SELECT ano, {', '.join(f'COALESCE(max(CASE WHEN mm = {i} THEN n END), 0) AS m{i:02d}' for i in range(1, 13))} FROM (
- SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, month(o_orderdate) AS mm, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1999 GROUP BY 1, 2
+ SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, month(o_orderdate) AS mm, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1999 GROUP BY 1, 2  -- the current year comes from hc
  UNION ALL SELECT 1999, CAST(right(mes, 2) AS INTEGER), final FROM hc) GROUP BY 1))""",
         "hc",
     ),
 )
 def _(s, sf):
-    return R.headcount_history(I.headcount_history(s, sf), _hc(s, sf))
+    return R.headcount_history(I.headcount_history(s, sf), _hc(s, sf), 1999)
 
 
 @query(

@@ -17,20 +17,35 @@ TODAY = f"DATE '{I.AS_OF}'"
 NOW = f"TIMESTAMP '{I.EVENTS_NOW}'"
 
 part("dias", "SELECT DISTINCT CAST(o_orderdate AS DATE) AS dia FROM orders")
-# The target lacks one tenth of the keys (inserts), the source another (deletes).
-part("tgt", "SELECT o_orderkey AS id, o_totalprice AS valor, o_orderstatus AS status, o_orderpriority AS prioridade, CAST(o_orderdate AS DATE) AS data_emissao FROM orders WHERE o_orderkey % 10 <> 0")
+# Each side numbers another tenth of the orders anew: inserts and deletes.
+part(
+    "tgt",
+    """SELECT CASE WHEN o_orderkey % 10 = 0 THEN -o_orderkey ELSE o_orderkey END AS id, o_totalprice AS valor, o_orderstatus AS status, o_orderpriority AS prioridade,
+ CAST(o_orderdate AS DATE) AS data_emissao FROM orders""",
+)
 part(
     "src",
-    """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS valor, o_orderstatus AS status,
- CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS prioridade, CAST(o_orderdate AS DATE) AS data_emissao FROM orders WHERE o_orderkey % 10 <> 1""",
+    """SELECT CASE WHEN o_orderkey % 10 = 1 THEN -o_orderkey ELSE o_orderkey END AS id, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS valor, o_orderstatus AS status,
+ CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS prioridade,
+ CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS data_emissao FROM orders""",
 )
+SAME = "t.id IS NOT NULL AND t.valor = s.valor AND t.status = s.status AND COALESCE(t.prioridade, '') = COALESCE(s.prioridade, '')"
 
 
 def _actions(s, sf):
     return maintenance.merge_actions(I.merge_target(s, sf), I.merge_source(s, sf), "id", I.MERGE_COMPARE)
 
 
-@query("merge_snapshot", check("SELECT * FROM src", "src"))
+# A row without a change in the compared columns keeps its old date.
+@query(
+    "merge_snapshot",
+    check(
+        f"""SELECT s.id, s.valor, s.status, s.prioridade, CASE WHEN {SAME} THEN t.data_emissao ELSE s.data_emissao END AS data_emissao
+ FROM src s LEFT JOIN tgt t ON t.id = s.id""",
+        "tgt",
+        "src",
+    ),
+)
 def _(s, sf):
     return maintenance.merged_rows(_actions(s, sf))
 
@@ -165,7 +180,15 @@ def _(s, sf):
     return health.latest_events(log)
 
 
-@query("rate_limit_admissions")
+# One step of the recursion decides the n-th request of every user.
+@query(
+    "rate_limit_admissions",
+    """WITH RECURSIVE e AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE ts IS NOT NULL),
+ r AS (SELECT user_id, ts, event_id, n, TRUE AS accepted, [ts] AS recent FROM e WHERE n = 1
+ UNION ALL SELECT user_id, ts, event_id, n, len(live) < 5, CASE WHEN len(live) < 5 THEN list_append(live, ts) ELSE live END FROM (
+  SELECT e.*, list_filter(r.recent, lambda x: e.ts - x < INTERVAL 1 DAY) AS live FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1))
+ SELECT user_id, ts, event_id, accepted FROM r UNION ALL SELECT user_id, ts, event_id, FALSE FROM events WHERE ts IS NULL""",
+)
 def _(s, sf):
     events = I.table(s, sf, "events").select("user_id", "ts", "event_id")
     return rate_limit.admissions(events, "user_id", "ts", "event_id", limit=5, window_seconds=86400)
