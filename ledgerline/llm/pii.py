@@ -124,8 +124,11 @@ def _found(rows: DataFrame, min_digits: int) -> DataFrame:
 
 
 def _edges(found: DataFrame) -> DataFrame:
-    """(pattern, form, seed, n): how often a pattern stands beside an instance, counted up to a limit."""
-    spans = found.dropDuplicates(["_id", "_h"]).select(F.explode(F.concat("base", "others")).alias("s"))
+    """(pattern, form, seed, n): how often a pattern stands beside an instance, counted up to a limit.
+
+    Rows of one document are equal in all columns, so that hashing finds them without a sort.
+    """
+    spans = found.distinct().select(F.explode(F.concat("base", "others")).alias("s"))
     each = spans.select(
         F.explode(F.array(F.concat(F.lit("L "), "s.left"), F.concat(F.lit("R "), "s.right"))).alias("pattern"),
         F.lower("s.form").alias("form"),
@@ -174,7 +177,7 @@ def extract(
     rows = keyed(docs, doc_id, text)
     found = scratch.save(_found(rows, min_digits), "found")
     sure = learn(found, scratch, rounds, min_seeds).filter(F.col("confidence") >= accept).select("pattern")
-    places = found.dropDuplicates(["_id", "_h"]).select("_id", "_h", F.explode("others").alias("s"))
+    places = found.select("_id", "_h", "others").distinct().select("_id", "_h", F.explode("others").alias("s"))
     left = sure.select(F.substr("pattern", F.lit(3)).alias("left")).filter(F.col("pattern").startswith("L "))
     right = sure.select(F.substr("pattern", F.lit(3)).alias("right")).filter(F.col("pattern").startswith("R "))
     flat = places.select("_id", "_h", "s.start", "s.kind", "s.end", "s.left", "s.right")
