@@ -1,8 +1,11 @@
 """Secret scan: fixed patterns, and tokens that a battery of randomness tests calls random.
 
 A candidate is a run ``[A-Za-z0-9+/_-]+={0,2}`` with at least ``min_length``
-characters before the padding that touches no pattern match. Its encoding is inferred from the
-letters used: hex, lower or upper base 32 (one case and digits), else base 64.
+characters before the padding that touches no pattern match. ``-`` and ``_`` are separators and no
+symbols: UUIDs and grouped keys are read without them, and a random URL-safe base 64
+token is uniform over the other 62 symbols. The encoding is the smallest alphabet that
+holds the rest: hex (of either case, or mixed), base 32, one case and digits, letters and
+digits, else base 64. A random token that fits a smaller alphabet by chance is uniform there too.
 Three statistics are taken against uniform random symbols of that encoding:
 
 * chi-squared of the symbol counts against the uniform alphabet,
@@ -13,7 +16,8 @@ A candidate that a test rejects as random (``reject``) is text. For the others
 the risk is the reverse: short text passes for want of power. So each keeps the
 probability that running text of the same length looks as random: under text the
 chi-squared statistic is noncentral, with a noncentrality that grows with the
-length and with the corpus's own letter frequencies. Those probabilities go
+length and with the corpus's own letter frequencies (both cases together where the
+encoding has one). Those probabilities go
 through Benjamini-Hochberg within length classes, over all candidates of the
 corpus, at ``fdr``. The step-up works on counts per bin of width 0.02 in -log10 p.
 
@@ -41,12 +45,19 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
 
+# The smaller ones first.
 ALPHABETS = {
     "hex": "0123456789abcdef",
+    "HEX": "0123456789ABCDEF",
+    "base32": "abcdefghijklmnopqrstuvwxyz234567",
+    "BASE32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "lower": "abcdefghijklmnopqrstuvwxyz0123456789",
     "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+PLACES = {kind: {c: i for i, c in enumerate(alphabet)} for kind, alphabet in ALPHABETS.items()}
+NO_SYMBOLS = str.maketrans("", "", "-_=")
 BIN = 0.02  # width of a bin in -log10 p
 SPANS = "kind int, `start` int, `end` int"
 
@@ -56,24 +67,24 @@ def _tail(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
-def encoding_of(token: str) -> str:
-    body = token.rstrip("=")
-    if not set(body) - set(ALPHABETS["hex"]):
-        return "hex"
-    if not set(body) - set(ALPHABETS["lower"]):
-        return "lower"
-    if not set(body) - set(ALPHABETS["upper"]):
-        return "upper"
-    return "base64"
+def symbols_of(token: str) -> tuple[str, str]:
+    """Encoding and symbols of a token: the smallest alphabet that holds all but separators and padding."""
+    body = token.translate(NO_SYMBOLS)
+    used = set(body)
+    for kind, place in PLACES.items():
+        if used <= place.keys():
+            return kind, body
+        if kind == "HEX" and used <= place.keys() | PLACES["hex"].keys():
+            return "hex", body.lower()
+    raise ValueError(f"no encoding holds {token!r}")
 
 
 def battery(token: str) -> tuple[str, np.ndarray, float, float, float]:
     """Encoding, symbols' counts, and the p-values of the three tests for one token."""
-    kind = encoding_of(token)
-    alphabet = ALPHABETS[kind]
-    place = {c: i for i, c in enumerate(alphabet)} | {"-": len(alphabet) - 2, "_": len(alphabet) - 1}
-    x = np.array([place[c] for c in token.rstrip("=")], dtype=float)
-    n, k = len(x), len(alphabet)
+    kind, body = symbols_of(token)
+    place = PLACES[kind]
+    x = np.array([place[c] for c in body], dtype=float)
+    n, k = len(x), len(place)
     counts = np.bincount(x.astype(int), minlength=k)
     if n < 3:
         return kind, counts, 1.0, 1.0, 1.0
@@ -201,7 +212,8 @@ def scan(
     letters = {chr(c): n for c, n in by_letter.collect()}  # 128 rows
     share = {}
     for enc, alphabet in ALPHABETS.items():
-        w = np.array([letters.get(c, 0) for c in alphabet], dtype=float) + 1
+        one_case = enc not in ("base62", "base64")  # text in capitals has the letters of other text
+        w = np.array([sum(letters.get(x, 0) for x in ({c.lower(), c.upper()} if one_case else c)) for c in alphabet], dtype=float) + 1
         share[enc] = w / w.sum()
 
     @F.pandas_udf("array<struct<cls: int, bin: int>>")

@@ -54,6 +54,30 @@ def test_secrets(spark):
     assert secrets.scan(texts(spark, [])).count() == 0
 
 
+def random_tokens(rnd, n):
+    """Random upper hex of 32 and 64 symbols, base 32, mixed hex, UUIDs of either case, URL-safe base 64."""
+    for _ in range(n):
+        lower = "".join(rnd.choice("0123456789abcdef") for _ in range(64))
+        uuid = f"{lower[:8]}-{lower[8:12]}-4{lower[13:16]}-a{lower[17:20]}-{lower[20:32]}"
+        yield from (lower[:32].upper(), lower.upper(), uuid, uuid.upper(), "".join(rnd.choice([c, c.upper()]) for c in lower[:40]))
+        yield "".join(rnd.choice(secrets.ALPHABETS["BASE32"]) for _ in range(52))
+        yield "".join(rnd.choice(secrets.ALPHABETS["base62"] + "-_") for _ in range(48))
+
+
+def test_random_tokens_of_every_encoding_pass_the_battery():
+    lost = sum(min(secrets.battery(token)[2:]) < 0.001 for token in random_tokens(random.Random(11), 300))
+    assert lost <= 0.01 * 7 * 300, "three tests at 0.001 each"
+    assert min(secrets.battery("-" * 30)[2:]) == 1.0 and min(secrets.battery("the-same-word-and-the-same-word-and-the-same")[2:]) < 0.001
+
+
+def test_secrets_of_every_encoding(spark):
+    rnd = random.Random(12)
+    prose = " ".join("".join(rnd.choice(["an", "the", "ou", "st"]) for _ in range(12)) for _ in range(300))
+    rows = [(i, f"{token} é {prose[:400]}") for i, token in enumerate(random_tokens(rnd, 2))]
+    got = {r.doc_id: r.s for r in secrets.scan(texts(spark, rows)).select("doc_id", secrets.written(F.col("spans")).alias("s")).collect()}
+    assert got == {i: f"random:0:{t.index(' ')}" for i, t in rows}
+
+
 def brute_lines(docs, least):
     docs = sorted(docs.items())
     cut = [t.split("\n") for _, t in docs]
