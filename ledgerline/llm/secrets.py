@@ -12,14 +12,16 @@ Three statistics are taken against uniform random symbols of that encoding:
 * the runs test of symbols above and below the alphabet's middle,
 * the serial correlation of neighbouring symbols.
 
-A candidate that a test rejects as random (``reject``) is text. For the others
-the risk is the reverse: short text passes for want of power. So each keeps the
-probability that running text of the same length looks as random: under text the
-chi-squared statistic is noncentral, with a noncentrality that grows with the
-length and with the corpus's own letter frequencies (both cases together where the
-encoding has one). Those probabilities go
-through Benjamini-Hochberg within length classes, over all candidates of the
-corpus, at ``fdr``. The step-up works on counts per bin of width 0.02 in -log10 p.
+The hypothesis that has to be refuted is that a candidate is text. Short text passes for
+random for want of power, so each candidate gets the probability that running text of the
+same length looks as random: under text the chi-squared statistic is noncentral, with a
+noncentrality that grows with the length and with the corpus's own letter frequencies (both
+cases together where the encoding has one). Random means random in all three tests, so the
+p-value of a candidate is the largest that a test gives for text: 1 if one of them rejects it
+as random (``reject``), else the chi-squared one. Rejecting only raises p-values, so they
+stay valid. They go through Benjamini-Hochberg within length classes, over all
+candidates of the corpus, the rejected ones counted, at ``fdr``. The step-up works on counts per
+bin of width 0.02 in -log10 p, rejected candidates in bin 0.
 
 Null texts count as empty. Each row is judged by itself, so repeated rows and ids
 get equal results. An empty table gives an empty result. Only the id and the text
@@ -134,8 +136,9 @@ def length_class(n: int) -> int:
 
 def _find(docs: DataFrame, doc_id: str, text: str, min_length: int, reject: float) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
-    # letters: counts of the byte values 0 to 127 over a frame's texts, on the frame's first row
-    schema = f"doc_id {kind}, letters array<bigint>, base array<struct<{_fields(SPANS)}>>, found array<struct<{_fields(SPANS)}, size: int, enc: string, counts: array<int>>>"
+    # letters: counts of the byte values 0 to 127 over a frame's texts, on the frame's first row;
+    # refused: length classes of the candidates that a test rejects as random
+    schema = f"doc_id {kind}, letters array<bigint>, base array<struct<{_fields(SPANS)}>>, found array<struct<{_fields(SPANS)}, size: int, enc: string, counts: array<int>>>, refused array<int>"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         assign = re.compile(ASSIGN, re.I | re.A).finditer
@@ -152,29 +155,33 @@ def _find(docs: DataFrame, doc_id: str, text: str, min_length: int, reject: floa
             out += [(2, *m.span()) for m in hexes(t)]
             return sorted(out, key=lambda s: (s[1], s[0]))
 
-        def found_in(t: str, base: list[tuple[int, int, int]]) -> list[dict]:
-            out = []
+        def found_in(t: str, base: list[tuple[int, int, int]]) -> tuple[list[dict], list[int]]:
+            out, refused = [], []
             for m in tokens(t):
                 s, e = m.span()
                 if any(a < e and s < b for _, a, b in base):
                     continue
                 enc, counts, *ps = battery(m.group())
+                size = int(counts.sum())
                 if min(ps) < reject:
-                    continue
-                out.append({"kind": 3, "start": s, "end": e, "size": int(counts.sum()), "enc": enc, "counts": counts.tolist()})
-            return out
+                    refused.append(length_class(size))
+                else:
+                    out.append({"kind": 3, "start": s, "end": e, "size": size, "enc": enc, "counts": counts.tolist()})
+            return out, refused
 
         for frame in frames:
             bases = [base_of(t) for t in frame["text"]]
             letters = np.zeros(256, dtype=np.int64)
             for t in frame["text"]:
                 letters += np.bincount(np.frombuffer(t.encode(), dtype=np.uint8), minlength=256)
+            found = [found_in(t, b) for t, b in zip(frame["text"], bases)]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
                     "letters": [letters[:128].tolist() if i == 0 else None for i in range(len(frame))],
                     "base": [[{"kind": k, "start": s, "end": e} for k, s, e in b] for b in bases],
-                    "found": [found_in(t, b) for t, b in zip(frame["text"], bases)],
+                    "found": [f for f, _ in found],
+                    "refused": [r for _, r in found],
                 }
             )
 
@@ -226,7 +233,8 @@ def scan(
 
     judged = found.withColumn("judged", judge("found"))
     # one row for each length class and bin: the logarithm of the longest token times 15,000 bins at most
-    bins = judged.select(F.explode("judged").alias("j")).groupBy("j.cls", "j.bin").count()
+    refused = F.transform("refused", lambda c: F.struct(c.alias("cls"), F.lit(0).alias("bin")))
+    bins = judged.select(F.explode(F.concat("judged", refused)).alias("j")).groupBy("j.cls", "j.bin").count()
     least = step_up([tuple(r) for r in bins.collect()], fdr)
     both = F.arrays_zip(F.col("found").alias("f"), F.col("judged").alias("j"))
     random = F.transform(

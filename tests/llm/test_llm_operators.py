@@ -78,6 +78,18 @@ def test_secrets_of_every_encoding(spark):
     assert got == {i: f"random:0:{t.index(' ')}" for i, t in rows}
 
 
+def test_refused_candidates_count_in_the_step_up(spark):
+    rnd = random.Random(13)
+    letters, weights = zip(*{"e": 13, "t": 9, "a": 8, "o": 8, "i": 7, "n": 7, "s": 6, "h": 6, "r": 6, "d": 4, "l": 4, "u": 3, "c": 3, "m": 3, "w": 2, "f": 2, "g": 2, "y": 2, "p": 2, "b": 1, "v": 1, "k": 1}.items())
+    clean = ["".join(rnd.choices(letters, weights, k=70)) for _ in range(20000)]
+    key = "".join(rnd.choice(secrets.ALPHABETS["base64"]) for _ in range(75))
+    passed = [t for t in clean if min(secrets.battery(t)[2:]) >= 0.001]
+    assert passed, "some clean tokens look random to the battery"
+    rows = [(i, " ".join(clean[i * 100 : i * 100 + 100])) for i in range(200)] + [(1000, key)]
+    spans = {r.doc_id: r.s for r in secrets.scan(texts(spark, rows)).select("doc_id", secrets.written(F.col("spans")).alias("s")).collect()}
+    assert sum(s.count("random") for i, s in spans.items() if i < 1000) <= 1 and spans[1000] == "random:0:75"
+
+
 def brute_lines(docs, least):
     docs = sorted(docs.items())
     cut = [t.split("\n") for _, t in docs]
