@@ -1,14 +1,17 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-Text is written as codes: each word, lower-cased and without outer punctuation, gives
-8 bytes hashed from its first ``STEM`` characters. Codes that don't lie in a dictionary
+Text is written as codes of 8 bytes, hashed from its lower-cased words, which end at every character
+that is no letter (digits are words of their own): every letter is read. A word of up to
+``WHOLE`` letters gives one code. Scripts written without blanks and longer runs give a code for
+each overlapping piece: of 2 letters in Chinese and Japanese, else of ``PIECE``. Codes that don't lie in a dictionary
 can't be compressed, so that a window's length tells how much of it the dictionary has
 seen, and nothing else (plain letters drown that in the costs of entropy tables).
 
 Training takes at most ``sample`` labelled rows of each class, those with the smallest
 hash of the id. Three quarters of them train the dictionaries: codes that occur in
 documents of the class more often than in the other (at least twice the share, log
-likelihood ratio of ``evidence`` or more), the strongest last, where matches cost least.
+likelihood ratio of ``evidence`` or more), the strongest last, where matches cost least. They are
+raw content for zstandard, not the output of its dictionary trainer.
 The others calibrate: a logistic curve over the bytes that windows save with the toxic
 dictionary, in all and per word. Score 0.5 is the threshold.
 
@@ -21,6 +24,8 @@ one by one: repeated rows get equal scores, an empty table gives an empty result
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +36,30 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Scratch, text_of
 
-STEM = 5
-WINDOW = 64  # words
+WHOLE = 16  # letters of the longest word with a code of its own
+PIECE = 5
+WINDOW = 64  # codes
 DOCS = 200  # texts that a task turns into strings at a time
 LEVEL = 3
-EDGE = ".,;:!?|*&%$#\"'()[]{}<>-_+=~`/\\"
+
+# Scripts without blanks between words: those with a letter for a syllable or word, and those of South-East Asia.
+HAN = r"\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+THAI = r"\u0e00-\u0e7f\u0e80-\u0eff\u1000-\u109f\u1780-\u17ff"
+# Marks belong to the letter before them.
+MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c)[0] == "M")
+WORDS = re.compile(rf"([{HAN}]+)|((?:(?!\d)[{THAI}])+)|((?:(?![{HAN}{THAI}])[^\W\d_][{MARKS}]*)+)|\d+").finditer
+
+
+def pieces(word: str, kind: int | None) -> list[str]:
+    """What a word is coded by; ``kind``: the group of ``WORDS`` that it is."""
+    size = 2 if kind == 1 else PIECE
+    if len(word) <= size or (kind != 1 and kind != 2 and len(word) <= WHOLE):
+        return [word]
+    return [word[i : i + size] for i in range(len(word) - size + 1)]
 
 
 class Coder:
-    """Writes words as codes; remembers the codes of ``MEMORY`` word beginnings."""
+    """Writes words as codes; remembers the codes of ``MEMORY`` pieces."""
 
     MEMORY = 100_000
 
@@ -52,12 +72,12 @@ class Coder:
         known, out = self.known, []
         if len(known) > self.MEMORY:
             known.clear()
-        for word in text.lower().split():
-            stem = word.strip(EDGE)[:STEM]
-            code = known.get(stem)
-            if code is None:
-                code = known[stem] = xxh64_digest(stem.encode())
-            out.append(code)
+        for match in WORDS(text.lower()):
+            for piece in pieces(match.group(), match.lastindex):
+                code = known.get(piece)
+                if code is None:
+                    code = known[piece] = xxh64_digest(piece.encode())
+                out.append(code)
         return out
 
 
@@ -80,7 +100,7 @@ class Meter:
             self.length.append(made.compress)
 
     def saved(self, text: str) -> tuple[int, int]:
-        """Bytes saved by the toxic dictionary, summed over the windows that gain, and the words."""
+        """Bytes saved by the toxic dictionary, summed over the windows that gain, and the codes."""
         codes = self.coder.codes(text)
         ordinary, toxic = self.length
         total = 0

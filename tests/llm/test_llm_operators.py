@@ -236,6 +236,30 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
 
 
+def test_toxicity_reads_joined_and_unspaced_text(spark):
+    rnd = random.Random(14)
+    vile = ["vile", "nasty", "awful"]
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+    rows = [(i, " ".join([f"w{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(26))}" for _ in range(80)] + ([rnd.choice(vile) for _ in range(6)] if i % 3 == 0 else []))) for i in range(400)]
+    for i in range(400, 800):
+        words = ["".join(rnd.choice(han) for _ in range(3)) for _ in range(40)] + (["罵倒惡語"] * 3 if i % 3 == 0 else [])
+        rnd.shuffle(words)
+        rows.append((i, "".join(words)))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id BIGINT, toxic INT")
+    fresh = [(-1, "-".join(vile * 4)), (-2, "so_" + "/".join(vile * 4)), (-3, "x," + ",".join(vile * 4)), (-4, "x." + ".".join(vile * 4)), (-5, "".join(han[:30]) + "罵倒惡語" * 3 + "".join(han[30:60]))]
+    clean = [(-11, "waa-wab_wac/wad,wae"), (-12, "".join(han[100:170])), (-13, "w " * 30)]
+    docs = texts(spark, rows + fresh + clean)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert [got[i] for i, _ in fresh] == [1] * 5 and [got[i] for i, _ in clean] == [0] * 3
+    assert sum(got[i] == (i % 3 == 0) for i, _ in rows) >= 0.98 * len(rows)
+
+
+def test_every_letter_is_coded():
+    words = [p for m in toxicity.WORDS("vile-nasty_a1b2 हिन्दी สวัสดี漢字かな " + "z" * 20) for p in toxicity.pieces(m.group(), m.lastindex)]
+    assert words[:7] == ["vile", "nasty", "a", "1", "b", "2", "हिन्दी"] and words[7:12] == ["สวัสด", "วัสดี", "漢字", "字か", "かな"] and words[12:] == ["z" * 5] * 16
+    assert len(set(toxicity.Coder().codes("insulting insulted"))) == 2, "words that share five letters"
+
+
 def test_warc(spark, tmp_path):
     same = "<p>é\r\n\r\nWARC/1.1\r\n</p>" * 20
     rows = [(5, "u", same), (3, "u\nv", same), (9, None, same), (1, "x", None), (2, "x", ""), (4, "y", "small"), (6, "y", "small"), (None, "z", same), (7, "q", "w" * 300000), (7, "q", "w" * 300000)]
