@@ -12,8 +12,11 @@ shingles are looked at, at every word. There each window gets a 64-bit SimHash o
 shingles. The bits are cut in ``BLOCKS`` blocks; fingerprints within ``radius`` bits
 differ in at most ``radius // BLOCKS`` bits of some block, so a table of each block's
 values to that distance yields every item within the radius. Those candidates are
-checked exactly. At similarity 0.8 the fingerprints differ in about 10 bits; the radius
-of 20 leaves 2 in 10,000 such windows out, and neighbouring windows are tried too.
+checked exactly. At similarity 0.8 the fingerprints differ in about 10 bits if shingles
+differ singly, but in any number of bits if repeated shingles weigh one side down. So a window
+and an item are also checked exactly, at any distance, if enough of the window's shingles
+occur in the item: to reach the similarity s, shingles numbering a and b must have
+s (a + b) / (1 + s) in common. No window that reaches ``min_similarity`` is left out.
 
 The benchmark goes to the tasks in passes of at most ``pass_bytes`` of text, so what is
 sent never grows with it; every pass reads all documents.
@@ -104,8 +107,9 @@ class Finder:
         self.least = min_similarity
         self.ids = []
         self.counts: list[Counter] = []
+        self.fps: list[np.uint64] = []
+        self.owners: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         by_size: dict[tuple[int, int], list[int]] = defaultdict(list)
-        fps = []
         shared: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for item_id, text in items:
             words = words_of(text)
@@ -116,11 +120,12 @@ class Finder:
             n = len(self.ids)
             self.ids.append(item_id)
             self.counts.append(Counter(grams))
-            fps.append(_pack(_signs(grams).sum(axis=0, keepdims=True))[0])
+            self.fps.append(_pack(_signs(grams).sum(axis=0, keepdims=True))[0])
             by_size[len(words), k].append(n)
-            for h in self._hashes(words, k).tolist():
+            for h in set(self._hashes(words, k).tolist()):
                 shared[k][h].add(len(words))
-        self.sizes = {s: (np.array(own), Index(np.array([fps[i] for i in own], dtype=np.uint64), radius)) for s, own in by_size.items()}
+                self.owners[len(words), k][h].append(n)
+        self.sizes = {s: (np.array(own), Index(np.array([self.fps[i] for i in own], dtype=np.uint64), radius)) for s, own in by_size.items()}
         self.shared = {}
         for k, sizes in shared.items():
             table = np.zeros(1 << TABLE_BITS, dtype=bool)
@@ -145,7 +150,7 @@ class Finder:
         start = np.cumsum(size) - size
         flat = [w for words in cut for w in words]
         each = np.fromiter(map(hash, flat), dtype=np.int64, count=len(flat)).view(np.uint64)
-        at: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        at: dict[int, dict[tuple[int, int], list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         for k, (table, sizes) in self.shared.items():
             h = self._hashes(flat, k, each)
             for p in np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0].tolist():
@@ -154,16 +159,18 @@ class Finder:
                     doc = int(np.searchsorted(start, p, "right")) - 1
                     if p + k <= start[doc] + size[doc]:
                         for n in lengths:
-                            at[doc][n, k].append(p - int(start[doc]))
+                            at[doc][n, k].append((p - int(start[doc]), int(h[p])))
         return [self._windows(cut[d], at[d]) if d in at else [] for d in range(len(texts))]
 
-    def _windows(self, words: list[str], places: dict[tuple[int, int], list[int]]) -> list[tuple]:
+    def _windows(self, words: list[str], places: dict[tuple[int, int], list[tuple[int, int]]]) -> list[tuple]:
         best: dict[int, tuple] = {}
         for (n, k), hits in places.items():
             length = min(n, len(words))
             last = len(words) - length  # the last start
             edge = np.zeros(last + 2, dtype=np.int32)
-            p = np.array(hits)
+            p = np.array([at for at, _ in hits])
+            per = length - k + 1
+            least_common = self.least * (per + n - k + 1) / (1 + self.least) - 1e-9
             np.add.at(edge, np.clip(p + k - length, 0, last), 1)
             np.add.at(edge, np.clip(p, 0, last) + 1, -1)
             starts = np.nonzero(np.cumsum(edge)[:-1] > 0)[0]
@@ -172,12 +179,18 @@ class Finder:
             for group in np.split(starts, np.nonzero(np.diff(starts) > 1)[0] + 1):
                 own = words[group[0] : group[-1] + length]
                 grams = _grams(own, k)
-                per = length - k + 1
                 upto = np.vstack([np.zeros((1, 64), dtype=np.int32), np.cumsum(_signs(grams), axis=0, dtype=np.int32)])
                 first = group - group[0]
                 members, index = self.sizes[n, k]
-                q, m, d = index.within(_pack(upto[first + per] - upto[first]))
-                for i, j, dist in zip(first[q].tolist(), members[m].tolist(), d.tolist()):
+                fps = _pack(upto[first + per] - upto[first])
+                q, m, d = index.within(fps)
+                pairs = dict(zip(zip(q.tolist(), members[m].tolist()), d.tolist()))
+                a, b = np.searchsorted(p, group), np.searchsorted(p, group + per)
+                for i in np.nonzero(b - a >= least_common)[0].tolist():
+                    common = Counter(j for _, h in hits[a[i] : b[i]] for j in self.owners[n, k][h])
+                    pairs |= {(i, j): int(np.bitwise_count(fps[i] ^ self.fps[j])) for j, c in common.items() if c >= least_common}
+                for (i, j), dist in pairs.items():
+                    i = int(first[i])
                     both = self._similar(grams[i : i + per], self.counts[j])
                     if both >= self.least:
                         mark = (-both, dist, int(group[0]) + i)

@@ -326,3 +326,16 @@ def test_decontamination(spark):
     kept = decontaminate.keep_clean(docs, bench)
     assert kept.columns == docs.columns and kept.count() == len(rows) - len({d for d, _ in want})
     assert decontaminate.find(docs, bench.limit(0)).count() == 0
+
+
+def test_decontamination_of_repeated_shingles(spark):
+    rnd = random.Random(15)
+    items = [(i, [f"w{rnd.randrange(5000)}" for _ in range(200)]) for i in range(12)]
+    rows = []
+    for i, w in items:
+        at = 180 if i % 2 else 90
+        rows.append((i, " ".join(w[:at] + ["filler"] * 17 + w[at + 17 :])))
+    rows.append((100, " ".join(["filler"] * 400)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id BIGINT, text STRING")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find(texts(spark, rows), bench).collect()}
+    assert set(got) == {(i, i) for i, _ in items} and min(got.values()) >= 0.8
