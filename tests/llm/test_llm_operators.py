@@ -339,3 +339,15 @@ def test_decontamination_of_repeated_shingles(spark):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id BIGINT, text STRING")
     got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find(texts(spark, rows), bench).collect()}
     assert set(got) == {(i, i) for i, _ in items} and min(got.values()) >= 0.8
+
+
+def test_recall_with_the_registered_factor(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    all_rows = [(r.vec_id, r.embedding) for r in rows.select("vec_id", "embedding").orderBy("vec_id").collect()]
+    ids, x = np.array([i for i, _ in all_rows]), np.array([v for _, v in all_rows], dtype=float)
+    got = {(r.query_id, r.vec_id) for r in vptree.nearest(rows, F.col("vec_id") % 20 == 0, k=20, factor=1.1).collect()}
+    want = set()
+    for q in np.nonzero(ids % 20 == 0)[0]:
+        s = vptree.products(np.broadcast_to(x[q], x.shape), x)
+        want |= {(int(ids[q]), int(ids[j])) for j in [j for j in np.lexsort((ids, -s)) if j != q][:20]}
+    assert len(got & want) >= 0.9 * len(want)
