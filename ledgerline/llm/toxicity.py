@@ -46,8 +46,18 @@ LEVEL = 3
 HAN = r"\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 THAI = r"\u0e00-\u0e7f\u0e80-\u0eff\u1000-\u109f\u1780-\u17ff"
 # Marks belong to the letter before them.
-MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c)[0] == "M")
-WORDS = re.compile(rf"([{HAN}]+)|((?:(?!\d)[{THAI}])+)|((?:(?![{HAN}{THAI}])[^\W\d_][{MARKS}]*)+)|\d+").finditer
+MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.category(c)[0] == "M")
+WORDS = re.compile(rf"([{HAN}]+)|((?:(?!\d)[{THAI}])+)|((?:[^\W\d_{HAN}{THAI}]+[{MARKS}]*)+)|\d+").finditer
+# The same words in a text without those scripts and marks, many times faster.
+PLAIN = re.compile(r"[^\W\d_]+|\d+").findall
+# A class within 16 bits is looked up at once, a larger one item by item.
+OTHER = re.compile(rf"[{HAN[:-21]}{THAI}{MARKS}]|[\U00010000-\U0003ffff]").search
+
+
+def words_of(text: str) -> list[tuple[str, int | None]]:
+    if text.isascii() or not OTHER(text):
+        return [(word, None) for word in PLAIN(text)]
+    return [(match.group(), match.lastindex) for match in WORDS(text)]
 
 
 def pieces(word: str, kind: int | None) -> list[str]:
@@ -72,8 +82,8 @@ class Coder:
         known, out = self.known, []
         if len(known) > self.MEMORY:
             known.clear()
-        for match in WORDS(text.lower()):
-            for piece in pieces(match.group(), match.lastindex):
+        for word, kind in words_of(text.lower()):
+            for piece in (word,) if kind is None and len(word) <= WHOLE else pieces(word, kind):
                 code = known.get(piece)
                 if code is None:
                     code = known[piece] = xxh64_digest(piece.encode())
