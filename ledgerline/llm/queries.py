@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from ledgerline.llm import (
     byte_bpe,
     decontaminate,
+    fim,
     line_runs,
     pii,
+    prefix_trie,
     secrets,
+    sharding,
     simhash,
     toxicity,
     url_cascade,
@@ -157,3 +160,104 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_benchmark_windows")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_similarity=0.8)
+
+
+# crc32 of a list of bytes: the table of 256 remainders, then one fold.
+CRC = r"""
+t AS (SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+      FROM (SELECT unnest(range(256)) AS i))"""
+
+OP11_SQL = (
+    r"""
+WITH RECURSIVE """
+    + CRC
+    + r""",
+b AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size FROM documents),
+h AS (SELECT text, hex(encode(text)) AS h FROM (SELECT DISTINCT text FROM b)),
+c AS (SELECT text, xor(4294967295, list_reduce([4294967295] || list_transform(range(0, strlen(h), 2), lambda i: ('0x' || substr(h, i + 1, 2))::BIGINT),
+             lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc FROM h, t),
+g AS (SELECT text, min(doc_id) AS first, sum(size)::BIGINT AS bytes FROM b GROUP BY text),
+e AS (SELECT text, bytes, sum(bytes) OVER (ORDER BY first)::BIGINT AS e FROM g),
+n AS (SELECT max(e) AS total, max(bytes) AS largest, (max(e) + 7) // 8 AS fair FROM e),
+-- one greedy step a row; when a capacity is decided, the next one starts at 0
+s AS (SELECT greatest(fair, largest) AS lo, fair + largest AS hi, 0 AS step, 0::BIGINT AS at FROM n
+      UNION ALL
+      SELECT CASE WHEN bad THEN mid + 1 ELSE lo END, CASE WHEN good THEN mid ELSE hi END, CASE WHEN good OR bad THEN 0 ELSE step + 1 END, CASE WHEN good OR bad THEN 0 ELSE next END
+      FROM (SELECT *, next = total AS good, next < total AND step = 7 AS bad
+            FROM (SELECT lo, hi, step, (lo + hi) // 2 AS mid, coalesce(max(e), s.at) AS next, total FROM s JOIN n ON lo < hi LEFT JOIN e ON e.e <= s.at + (lo + hi) // 2
+                  GROUP BY lo, hi, step, s.at, total))),
+cap AS (SELECT min(hi) AS cap FROM s WHERE lo = hi),
+r AS (SELECT 8 AS i, total AS at FROM n UNION ALL SELECT i - 1, CASE WHEN r.at - cap <= 0 THEN 0 ELSE min(e.e) END FROM r, cap, e WHERE i > 1 AND e.e >= r.at - cap GROUP BY i, r.at, cap),
+f AS (SELECT 0 AS i, 0::BIGINT AS at
+      UNION ALL
+      SELECT f.i + 1, greatest(r.at, coalesce(max(e.e), f.at)) FROM f JOIN r ON r.i = f.i + 1 AND f.i < 7 JOIN n ON true JOIN cap ON true
+      LEFT JOIN e ON e.e <= f.at + least(cap, (total - f.at + 7 - f.i) // (8 - f.i)) GROUP BY f.i, f.at, r.at),
+o AS (SELECT text, e, (SELECT count(*) FROM f WHERE f.i > 0 AND f.at < e.e) AS shard FROM e)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY e, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM b JOIN o USING (text) JOIN c USING (text)
+"""
+)
+
+
+@query("op11_sharding", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(table(spark, sf_dir, "documents"), shards=8, keep=["doc_id"])
+    return out.select("_row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+n AS (SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                  WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM n),
+p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return out.select(
+        "_row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = (
+    r"""
+WITH """
+    + CRC
+    + r""",
+o AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, own, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+             lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1]))) % 9 AS h FROM o, t),
+m AS (SELECT a.c, coalesce(b.own[:a.h], []) || a.own[a.h + 1:] AS turns FROM h a LEFT JOIN o b ON b.c = a.c - a.c % 5),
+x AS (SELECT c, unnest(range(len(turns) + 1)) AS depth, turns FROM m),
+p AS (SELECT c, depth, turns[:depth] AS path, depth = len(turns) AS ends FROM x),
+n AS (SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids FROM p GROUP BY depth, path),
+k AS (SELECT n.*, u.conv_id AS parent_conv_id, (n_convs - 1) * CASE WHEN n.depth = 0 THEN 0 ELSE strlen(n.path[-1].t) END AS w
+      FROM n LEFT JOIN (SELECT depth + 1 AS depth, path AS up, conv_id FROM n) u ON u.depth = n.depth AND u.up = n.path[:n.depth - 1]),
+c AS (SELECT depth - 1 AS depth, path[:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT k.*, coalesce(n_children, 0) AS n_children FROM k LEFT JOIN c USING (depth, path)),
+s AS (SELECT path[:d] AS path, d AS depth, sum(w)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(depth + 1)) AS d FROM f) GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ids) AS ends_sha256 FROM f JOIN s USING (depth, path)
+"""
+)
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations")).drop("turn_conv", "turn_place", "fingerprint")
