@@ -190,8 +190,8 @@ cap AS (SELECT min(hi) AS cap FROM s WHERE lo = hi),
 r AS (SELECT 8 AS i, total AS at FROM n UNION ALL SELECT i - 1, CASE WHEN r.at - cap <= 0 THEN 0 ELSE min(e.e) END FROM r, cap, e WHERE i > 1 AND e.e >= r.at - cap GROUP BY i, r.at, cap),
 f AS (SELECT 0 AS i, 0::BIGINT AS at
       UNION ALL
-      SELECT f.i + 1, greatest(r.at, coalesce(max(e.e), f.at)) FROM f JOIN r ON r.i = f.i + 1 AND f.i < 7 JOIN n ON true JOIN cap ON true
-      LEFT JOIN e ON e.e <= f.at + least(cap, (total - f.at + 7 - f.i) // (8 - f.i)) GROUP BY f.i, f.at, r.at),
+      SELECT f.i + 1, greatest(r.at, coalesce(max(e.e) FILTER (e.e <= f.at + least(cap, (total - f.at + 7 - f.i) // (8 - f.i))), f.at), coalesce(min(e.e) FILTER (e.e > f.at), f.at))
+      FROM f JOIN r ON r.i = f.i + 1 AND f.i < 7 JOIN n ON true JOIN cap ON true JOIN e ON true GROUP BY f.i, f.at, r.at),
 o AS (SELECT text, e, (SELECT count(*) FROM f WHERE f.i > 0 AND f.at < e.e) AS shard FROM e)
 SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
        row_number() OVER (PARTITION BY shard ORDER BY e, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard

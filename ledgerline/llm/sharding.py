@@ -8,7 +8,7 @@ The smallest feasible capacity is found by binary search between the larger of t
 share and the largest group, and their sum. A capacity is feasible if greedy cuts, each
 at the last group end within it, reach the end in as many shards as there are. The cuts
 keep that capacity; among cuts that do, a shard takes no more than the fair share of
-what is left, as long as the rest can still be cut within the capacity.
+what is left, but at least one group and so much that the rest can be cut within the capacity.
 
 The search needs only group ends, which are prefix sums over range-partitioned groups. The
 driver holds at most a few thousand spans of ends: least and greatest end of each. Greedy
@@ -22,8 +22,7 @@ per partition and shard, give each partition its first slot.
 
 Null ids come first in their group. Repeated rows each keep a slot of their own. Empty
 texts have size 1. Columns are carried in ``_row``, so no name can clash. An empty table
-gives an empty result. A shard may stay empty if there are fewer groups than shards, or if a
-group is larger than a fair share.
+gives an empty result. Shards stay empty only if there are fewer groups than shards.
 """
 
 from __future__ import annotations
@@ -56,7 +55,7 @@ class Ends:
 
     def _split(self, spans: list[tuple[int, int, int]]) -> None:
         """Replaces spans by finer ones; one job reads the rows of these spans alone."""
-        cells = max(1, CELLS // len(spans))
+        cells = max(2, CELLS // len(spans))
         parts = sorted(self.before)
         pieces = []
         for n, (lo, hi, _) in enumerate(spans):
@@ -133,7 +132,8 @@ class Ends:
             earliest.append(self.first_from(max(0, earliest[-1] - lo)))
         at, out = 0, []
         for left in range(shards, 1, -1):
-            at = max(earliest[left - 1], self.exact(at + min(lo, -(-(self.total - at) // left))))
+            some = self.first_from(min(at + 1, self.total))  # at least one group a shard, while there are any
+            at = max(earliest[left - 1], some, self.exact(at + min(lo, -(-(self.total - at) // left))))
             out.append(at)
         return out
 
