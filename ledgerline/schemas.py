@@ -35,6 +35,9 @@ RAW = {
 }
 
 
+MONTH = "mes_particao"  # partition column of tables that are stored by month
+
+
 @dataclass(frozen=True)
 class Table:
     ddl: str
@@ -42,6 +45,7 @@ class Table:
     key: tuple[str, ...] = ()
     partition: tuple[str, ...] = ()
     sort: tuple[str, ...] = ()
+    month: str | None = None  # rows are stored by the month of this date
     restricted: bool = False
 
     @property
@@ -69,8 +73,8 @@ TABLES = {
         modalidade STRING COMMENT 'SK or FD', {SYNC_DAY}""",
         "receivables and payables",
         key=("id",),
-        partition=("sync_date",),
         sort=("tipo", "categoria_grupo"),
+        month="data_vencimento",
     ),
     "saldos_bancarios": Table(
         f"""conta_id BIGINT NOT NULL, conta_nome STRING NOT NULL, conta_tipo STRING, saldo DOUBLE NOT NULL,

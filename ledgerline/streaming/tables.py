@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import health, maintenance
-from ledgerline.schemas import MERGE_RULES, TABLES
+from ledgerline.sources.sync import merge_table
 from ledgerline.sources.tables import TableStore
 
 
@@ -55,32 +55,38 @@ def stream_merges(
 ) -> StreamingQuery:
     """Takes over arriving snapshots in order; ``snapshot_col`` numbers them from 1.
 
-    The number is the table version, so a replayed micro-batch writes the same
-    versions again. The base of version n is always version n - 1. A snapshot may be
-    spread over micro-batches: its rows are staged, one folder per micro-batch, and each
-    part that arrives merges the whole of what is staged, with the versions after it.
-    With ``size_col`` (rows of the whole snapshot) a version is written only once all are there.
+    Rows are staged by snapshot, one folder per micro-batch. Snapshot n is merged after n - 1, once it
+    is whole: with ``size_col`` when so many rows have come, else it must come in one micro-batch. The
+    manifest that shows a snapshot also says its number and micro-batch, so a replayed micro-batch
+    publishes nothing twice, and rows of a snapshot that is already published stop the stream. The
+    staged rows of a published snapshot are removed.
     """
-    key, compare = TABLES[table].key[0], MERGE_RULES[table]
-    staged = f"{store.root}/{table}_staged"
+    staged = f"{store.root}/_chegada/{table}"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{staged}/lote={batch_id}")
-        rows = batch.sparkSession.read.schema(batch.schema).parquet(f"{staged}/lote=*")
-        first = batch.agg({snapshot_col: "min"}).first()[0]
-        if first is None:
+        spark = batch.sparkSession
+        taken, at = store.state().marks.get(table, [0, -1])
+        new = batch.withColumn("_snap", F.col(snapshot_col).cast("long")).withColumn("_lote", F.lit(batch_id).cast("long"))
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_snap", "_lote").parquet(staged)
+        if store._names(staged) == []:
             return
-        have = rows.filter(F.col(snapshot_col) >= first).groupBy(snapshot_col).agg(
-            F.count(F.lit(1)).alias("n"), (F.max(size_col) if size_col else F.lit(None).cast("long")).alias("size")
-        )  # one row per snapshot since the oldest of this micro-batch
-        for n, seen, size in have.orderBy(snapshot_col).collect():
-            if size is not None and seen < size:
+        rows = spark.read.schema(new.schema).parquet(staged)
+        size = F.max(size_col) if size_col else F.lit(None).cast("long")
+        have = rows.groupBy("_snap").agg(F.count(F.lit(1)).alias("n"), size.alias("size"), F.max("_lote").alias("last"))
+        for n, seen, whole, last in have.orderBy("_snap").collect():  # one row per open snapshot
+            if n <= taken and last > at:
+                raise ValueError(f"rows of snapshot {n} of {table} came after it was published")
+            if n <= taken:
+                store._delete(f"{staged}/_snap={n}")
+                continue
+            if n != taken + 1 or (whole is not None and seen < whole):
                 break
-            source = rows.filter(F.col(snapshot_col) == n).drop(snapshot_col, *([size_col] if size_col else []))
-            base = store.read_version(table, n - 1)
-            merged = maintenance.merge_snapshot(base, source, key, compare)
-            store.write_version(table, merged, n)
-            store.publish({table: n})
+            source = rows.filter(F.col("_snap") == n).drop("_snap", "_lote", snapshot_col, *([size_col] if size_col else []))
+            base = store.state()
+            folders, _ = merge_table(store, table, source, base)
+            store.publish({} if folders is None else {table: folders}, base=base, marks={table: [n, batch_id]})
+            taken, at = n, batch_id
+            store._delete(f"{staged}/_snap={n}")
 
     return _start(snapshots, each, checkpoint)
 

@@ -73,6 +73,7 @@ def test_sql_tables(spark, store, tmp_path):
         assert spark.table("fin_test.projetos").count() == 1
     finally:
         spark.sql("DROP DATABASE fin_test CASCADE")
+        spark.sql("DROP DATABASE fin_test_restrito CASCADE")
 
 
 def test_null_violations(spark):
