@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates as D
@@ -61,6 +61,28 @@ def month_end_balances(history: DataFrame, until: dt.date | str) -> DataFrame:
     return g.filter("saldo <> 0").select("mes", "conta_nome", "saldo").orderBy(F.desc("saldo"), "conta_nome")
 
 
+def balances_asof(history: DataFrame, ends: DataFrame) -> DataFrame:
+    """Balance of every account at every period end: the newest month end up to it, else the account's newest.
+
+    ``ends``: fim. The as-of join is a union: balances and period ends of an account in one order, and
+    the last balance is carried on. Period ends are dates of a calendar, so few; they meet the accounts
+    as one array.
+    """
+    rows = _monthly(history, None).select("conta_id", "conta_nome", F.col("data_referencia").alias("dia"), "saldo_atual")
+    found = F.struct("dia", "saldo_atual", "conta_nome")
+    known = rows.select("conta_id", "dia", found.alias("r"), F.lit(False).alias("pedido"))
+    wanted = ends.agg(F.collect_set("fim")).scalar()
+    asked = rows.select("conta_id").distinct().select("conta_id", F.explode(wanted).alias("dia"))
+    asked = asked.select("conta_id", "dia", F.lit(None).cast(known.schema["r"].dataType).alias("r"), F.lit(True).alias("pedido"))
+    upto = Window.partitionBy("conta_id").orderBy("dia", "pedido", "r").rowsBetween(Window.unboundedPreceding, 0)
+    newest = F.max("r").over(Window.partitionBy("conta_id"))
+    asof = known.unionByName(asked).withColumns({"antes": F.last("r", ignorenulls=True).over(upto), "novo": newest}).filter("pedido")
+    value = F.coalesce("antes", "novo")
+    return asof.select(
+        F.col("dia").alias("fim"), "conta_id", value["conta_nome"].alias("conta_nome"), value["dia"].alias("data_referencia"), value["saldo_atual"].alias("saldo")
+    )
+
+
 def month_totals(history: DataFrame, excluded: str | None = None) -> DataFrame:
     g = (
         _monthly(history, excluded)

@@ -658,6 +658,26 @@ def _(s, sf):
     return B.month_end_balances(I.latest_balances(s, sf), I.AS_OF)
 
 
+# Every month end of the orders and the same day two years earlier, so that some lie before an account's first balance.
+part("fins", "SELECT DISTINCT unnest([mes_fim, last_day(CAST(mes_fim - INTERVAL 24 MONTH AS DATE))]) AS fim FROM hist", "hist")
+
+
+@query(
+    "balance_asof_months",
+    check(
+        """SELECT p.fim, p.conta AS conta_id, 'Conta ' || p.conta AS conta_nome, coalesce(h.mes_fim, n.mes_fim) AS data_referencia, coalesce(h.saldo, n.saldo) AS saldo
+ FROM (SELECT DISTINCT conta, fim FROM hist, fins) p ASOF LEFT JOIN hist h ON h.conta = p.conta AND h.mes_fim <= p.fim
+ JOIN (SELECT conta, max(mes_fim) AS mes_fim, arg_max(saldo, mes_fim) AS saldo FROM hist GROUP BY conta) n ON n.conta = p.conta""",
+        "hist",
+        "fins",
+    ),
+)
+def _(s, sf):
+    history = I.latest_balances(s, sf)
+    days = history.select(F.explode(F.array("data_referencia", F.last_day(F.add_months("data_referencia", -24)))).alias("fim"))
+    return B.balances_asof(history, days.distinct())
+
+
 @query(
     "balance_curve",
     check(

@@ -686,6 +686,25 @@ def names(spark: SparkSession, sf: str) -> DataFrame:
     return p.withColumn("tipo", F.lit("projeto")).unionByName(s.withColumn("tipo", F.lit("cliente")))
 
 
+def questions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user turn as a question: both words of a part, words of two parts, a supplier, or the turn's own text."""
+    turns = table(spark, sf, "conversations").filter("role = 'user'").select("conv_id", "turn", "text")
+    at = lambda step: (F.col("conv_id") * step + F.col("turn")) % 200
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    named = turns.join(parts.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x")), at(31) == F.col("a")).join(
+        parts.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y")), at(17) == F.col("b")
+    )
+    kind = (F.col("conv_id") + F.col("turn")) % 5
+    text = (
+        F.when(kind == 0, F.concat(F.lit("Quanto "), F.upper("x"), F.lit("?")))
+        .when(kind == 1, F.concat(F.split("x", " ")[0], F.lit(" e a "), F.split("y", " ")[1], F.lit(" esse mês")))
+        .when(kind == 2, F.concat(F.lit("Supplier "), F.lpad((F.col("conv_id") % 10).cast("string"), 9, "0")))
+        .when(kind == 3, F.concat(F.lit("total de "), F.split("y", " ")[1]))
+        .otherwise(F.col("text"))
+    )
+    return named.select(F.concat_ws(" ", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("pergunta"), text.alias("texto"))
+
+
 QUERY_TEXTS = (
     "SELECT valor FROM fin.lancamentos WHERE id = ",
     "INSERT INTO fin.lancamentos VALUES ",

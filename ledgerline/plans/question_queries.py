@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline import constants as K
+from ledgerline.functions import text as T
 from ledgerline.operators import questions as Q
 from ledgerline.operators import search
 from ledgerline.plans import inputs as I
@@ -299,29 +298,46 @@ def _(s, sf):
 
 # --- search, audit, chat -----------------------------------------------------
 
-ASKED = ("Quanto blue bolt?", "widget cold anvil", "qual o total de plate esse mês")
-
-
-def searched(i: int) -> str:
-    like = lambda w: f"nome LIKE '%{w}%'"
-    one = lambda cond, k: " UNION ".join(
-        f"SELECT * FROM (SELECT nome, tipo FROM nomes WHERE tipo = '{t}' AND {cond} ORDER BY nome LIMIT {k})" for t in ("projeto", "cliente")
-    )
-    body = {
-        0: one(like("blue") + " AND " + like("bolt"), 10),
-        1: one(like("widget"), 5) + " UNION " + one(like("cold"), 5),
-        2: one(like("plate"), 10),
-    }[i]
-    return f"SELECT * FROM (SELECT {i} AS pergunta, nome, tipo FROM ({body}) ORDER BY CASE tipo WHEN 'projeto' THEN 0 ELSE 1 END, nome LIMIT 10)"
+STOP = ", ".join(f"'{w}'" for w in K.STOPWORDS)
+part(
+    "perguntas",
+    """SELECT conv_id || ' ' || turn AS pergunta, CASE (conv_id + turn) % 5 WHEN 0 THEN 'Quanto ' || upper(a.p_name) || '?'
+ WHEN 1 THEN split_part(a.p_name, ' ', 1) || ' e a ' || split_part(b.p_name, ' ', 2) || ' esse mês'
+ WHEN 2 THEN 'Supplier ' || lpad(CAST(conv_id % 10 AS VARCHAR), 9, '0') WHEN 3 THEN 'total de ' || split_part(b.p_name, ' ', 2) ELSE text END AS texto
+ FROM conversations JOIN part a ON a.p_partkey = (conv_id * 31 + turn) % 200 JOIN part b ON b.p_partkey = (conv_id * 17 + turn) % 200 WHERE role = 'user'""",
+)
+part(
+    "palavras",
+    f"""SELECT pergunta, list_filter(list_transform(list_filter(regexp_split_to_array(trim(lower(texto)), '\\s+'),
+ lambda w: length(w) > 2 AND w NOT IN ({STOP})), lambda w: regexp_replace(w, '{T.TOKEN_CHARS}', '', 'g')), lambda w: w <> '') AS w FROM perguntas""",
+    "perguntas",
+)
+part(
+    "regras",
+    """SELECT pergunta, 0 AS regra, w[:4] AS p FROM palavras WHERE len(w) > 0
+ UNION ALL SELECT pergunta, i, [l[i]] FROM (SELECT pergunta, w, list_filter(w, lambda x: length(x) > 3)[:2] AS l FROM palavras), range(1, 3) t(i) WHERE i <= len(l) AND l <> w""",
+    "palavras",
+)
+part(
+    "achados",
+    """SELECT pergunta, regra, tipo, nome FROM (SELECT r.pergunta, r.regra, n.tipo, n.nome, row_number() OVER (PARTITION BY r.pergunta, r.regra, n.tipo ORDER BY n.nome) AS k
+ FROM regras r JOIN nomes n ON len(list_filter(r.p, lambda x: contains(lower(n.nome), x))) = len(r.p)) WHERE k <= CASE regra WHEN 0 THEN 10 ELSE 5 END""",
+    "regras",
+    "nomes",
+)
 
 
-@query("name_resolver", check(" UNION ALL ".join(searched(i) for i in range(3)), "nomes"))
+@query(
+    "name_resolver",
+    check(
+        """SELECT pergunta, nome, tipo, posicao FROM (SELECT pergunta, nome, tipo, row_number() OVER (PARTITION BY pergunta ORDER BY CASE tipo WHEN 'projeto' THEN 0 ELSE 1 END, nome) AS posicao
+ FROM (SELECT pergunta, nome, max(tipo) AS tipo FROM achados a WHERE regra = 0 OR NOT EXISTS (SELECT 1 FROM achados b WHERE b.pergunta = a.pergunta AND b.regra = 0) GROUP BY pergunta, nome))
+ WHERE posicao <= 10""",
+        "achados",
+    ),
+)
 def _(s, sf):
-    names = I.names(s, sf)
-    parts = [
-        search.resolve_names(names, q).select(F.lit(i).alias("pergunta"), "nome", "tipo") for i, q in enumerate(ASKED)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return search.resolve_questions(I.names(s, sf), I.questions(s, sf))
 
 
 @query(

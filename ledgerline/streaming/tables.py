@@ -25,18 +25,47 @@ def stream_history(
     checkpoint: str,
     key: Iterable[str] = ("conta_id", "data_referencia", "tipo"),
     newest: Iterable[str] = ("sync_timestamp",),
+    compact_every: int = 8,
 ) -> StreamingQuery:
-    """Appends the newest row per key of every micro-batch.
+    """Keeps the newest row per key as state and stores the rows of keys that change.
 
-    Each micro-batch owns a folder and overwrites it when replayed, so nothing
-    is stored twice. ``read_history`` deduplicates across folders.
+    A streaming aggregation holds one row per key, so an older row that comes late changes nothing.
+    Each micro-batch owns a folder ``lote=<n>`` and overwrites it when replayed. Every
+    ``compact_every`` micro-batches all live rows are written to ``inteiro=<n>`` and the folders
+    before it are removed: what is stored follows the number of keys, not of events.
     """
+    key, newest = list(key), list(newest)
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    latest = stream.groupBy(*key).agg(F.max_by(row, F.struct(*newest)).alias("_r")).select("_r.*")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = maintenance.latest_history(batch, key, newest)
-        rows.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+        if (batch_id + 1) % compact_every:
+            return
+        store = TableStore(spark, path)
+        if "_SUCCESS" not in store._names(f"{path}/inteiro={batch_id}"):  # else a replay: what it was made of may be gone
+            live = spark.read.schema(batch.schema).parquet(*[f"{path}/{f}" for f in live_folders(store, batch_id)])
+            maintenance.latest_history(live, key, newest).write.mode("overwrite").parquet(f"{path}/inteiro={batch_id}")
+        for name in store._names(path):
+            kind, _, n = name.partition("=")
+            if kind in ("lote", "inteiro") and (int(n), kind) < (batch_id, "inteiro") or name == f"lote={batch_id}":
+                store._delete(f"{path}/{name}")
+
+    return (
+        latest.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
 
-    return _start(stream, each, checkpoint)
+def live_folders(store: TableStore, upto: int | None = None) -> list[str]:
+    """The newest whole folder and the micro-batches after it. A whole folder counts once its write is complete."""
+    names = [n.partition("=") for n in store._names(store.root)]
+    whole = [int(n) for kind, _, n in names if kind == "inteiro" and "_SUCCESS" in store._names(f"{store.root}/inteiro={n}")]
+    whole = [n for n in whole if upto is None or n < upto]
+    last = max(whole, default=-1)
+    parts = sorted(int(n) for kind, _, n in names if kind == "lote" and int(n) > last)
+    return ([f"inteiro={last}"] if whole else []) + [f"lote={n}" for n in parts]
 
 
 def read_history(
@@ -46,8 +75,11 @@ def read_history(
     key: Iterable[str] = ("conta_id", "data_referencia", "tipo"),
     newest: Iterable[str] = ("sync_timestamp",),
 ) -> DataFrame:
-    rows = spark.read.schema(schema).parquet(path)
-    return maintenance.latest_history(rows.drop("lote"), key, newest)
+    folders = live_folders(TableStore(spark, path))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
+    return maintenance.latest_history(rows, key, newest)
 
 
 def stream_merges(

@@ -43,3 +43,12 @@ def test_latest_and_last_n_limit_before_the_shuffle(spark):
         text = plan(entry.queries()[name](spark, SF))
         final, partial = text.index("WindowGroupLimit"), text.rindex("WindowGroupLimit")
         assert final < text.index("Exchange") < partial, name
+
+
+def test_questions_are_looked_up_by_equality(spark):
+    from ledgerline.operators import search
+    from ledgerline.plans import inputs as I
+
+    df = search.resolve_questions(I.names(spark, "/root/testdata/sf0.001"), I.questions(spark, "/root/testdata/sf0.001"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

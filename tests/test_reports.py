@@ -283,3 +283,34 @@ def test_scenarios(spark):
     assert got["2026-01"] == (110000, 126000, 100000)
     assert got["2026-03"] == (110000, 126000, 117000) and got["2026-04"] == (110000, 126000, 87000)
     assert got["ANO"] == (1320000, 1512000, 1074000)
+
+
+def test_resolver_of_many_questions_equals_the_single_one(spark):
+    names = [("Nex One 1513", "projeto"), ("NEX TWO", "projeto"), ("Ana SA", "cliente"), ("nex one", "cliente"), ("Nex One 1513", "cliente"), ("R1", "projeto"), (None, "projeto")]
+    names += [(f"Obra {i:02d} Brooklin", "projeto") for i in range(14)] + [(f"brooklin {i}", "cliente") for i in range(12)]
+    names = spark.createDataFrame(names, "nome STRING, tipo STRING")
+    asked = ["nex one 1513", "Quanto gastei no projeto nex one?", "hub brooklin 1305", "brooklin", "xyz nada", "", None, "quanto", "a#1x ana", "r$1 r$1$", "zzz nex"]
+    df = spark.createDataFrame(list(enumerate(asked)) + [(99, "brooklin")], "pergunta INT, texto STRING")
+    got = {}
+    for r in search.resolve_questions(names, df).orderBy("pergunta", "posicao").collect():
+        got.setdefault(r.pergunta, []).append((r.nome, r.tipo))
+    for i, q in enumerate(asked):
+        want = [(r.nome, r.tipo) for r in search.resolve_names(names.filter("nome is not null"), q or "").collect()]
+        assert got.get(i, []) == want, q
+    assert got[99] == got[3] and len(got[3]) == 10
+
+
+def test_balances_asof(spark):
+    import datetime as dt
+
+    day = dt.date
+    rows = [(1, "a", day(2026, 1, 31), "mensal", 1.0), (1, "a", day(2026, 3, 31), "mensal", 3.0), (2, "b", day(2026, 2, 28), "mensal", 7.0), (1, "a", day(2026, 2, 5), "diario", 99.0)]
+    history = spark.createDataFrame(rows, "conta_id BIGINT, conta_nome STRING, data_referencia DATE, tipo STRING, saldo_atual DOUBLE")
+    ends = spark.createDataFrame([(day(2025, 12, 31),), (day(2026, 2, 28),), (day(2026, 4, 30),)], "fim DATE")
+    from ledgerline.operators import balances
+
+    got = {(r.conta_id, r.fim.month): (r.data_referencia, r.saldo) for r in balances.balances_asof(history, ends).collect()}
+    assert got == {
+        (1, 12): (day(2026, 3, 31), 3.0), (1, 2): (day(2026, 1, 31), 1.0), (1, 4): (day(2026, 3, 31), 3.0),
+        (2, 12): (day(2026, 2, 28), 7.0), (2, 2): (day(2026, 2, 28), 7.0), (2, 4): (day(2026, 2, 28), 7.0),
+    }

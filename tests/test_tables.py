@@ -240,3 +240,21 @@ def test_health_stream_equals_batch(spark, tmp_path):
     )
     q.awaitTermination()
     assert spark.table("health_out").collect() == health.sync_health(log, now).collect()
+
+
+def test_history_stream_stores_keys_not_events(spark, tmp_path):
+    schema = "conta_id BIGINT, data_referencia DATE, tipo STRING, saldo DOUBLE, sync_timestamp TIMESTAMP"
+    day = dt.date(2026, 3, 1)
+    rows = [[(i % 5, day, "mensal", float(10 * n + i), NOW + dt.timedelta(hours=n)) for i in range(5)] for n in range(9)]
+    rows[4] = [(i % 5, day, "mensal", -1.0, NOW - dt.timedelta(hours=1)) for i in range(5)]  # late, older rows
+    for n, part in enumerate(rows):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        streams.stream_history(stream, str(tmp_path / "out"), str(tmp_path / "cp"), compact_every=4).awaitTermination()
+        stored = spark.read.schema(schema).parquet(*[f"{tmp_path}/out/{f}" for f in streams.live_folders(tables.TableStore(spark, str(tmp_path / "out")))])
+        assert stored.count() <= 5 * 4, "repeats of a key don't pile up"
+        got = streams.read_history(spark, str(tmp_path / "out"), stored.schema)
+        want = maintenance.latest_history(spark.createDataFrame([r for p in rows[: n + 1] for r in p], schema))
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    left = {p.name for p in (tmp_path / "out").iterdir()}
+    assert {n for n in left if n.startswith("inteiro")} == {"inteiro=7"} and len([n for n in left if n.startswith("lote")]) == 1
