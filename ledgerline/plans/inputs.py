@@ -301,11 +301,11 @@ def raw_clients(spark: SparkSession, sf: str, suppliers: bool = False) -> DataFr
     )
 
 
-def raw_orders(spark: SparkSession, sf: str, items: bool = True) -> DataFrame:
-    """Sales orders in their nested landed shape, one record per delivered item line.
+def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales orders in their nested landed shape: one record per order with all its items.
 
-    Even lines come with a second item, a free sample. Without ``items`` an order is one
-    record with its header alone: reports on headers read no lines.
+    Even lines come with a second item, a free sample. A landed order is one JSON record, so
+    its items are few enough for one row.
     """
     o = table(spark, sf, "orders")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
@@ -317,28 +317,21 @@ def raw_orders(spark: SparkSession, sf: str, items: bool = True) -> DataFrame:
         F.struct(F.col("p_name").alias("descricao"), quantity.alias("quantidade"), value.alias("valor_total")).alias("produto")
     )
     sold = item(F.col("l_quantity"), F.col("l_extendedprice"))
-    det = F.when(F.col("l_linenumber") % 2 == 0, F.array(sold, item(F.lit(1.0), F.lit(0.0)))).otherwise(F.array(sold))
-    header = [
+    one = F.when(F.col("l_linenumber") % 2 == 0, F.array(sold, item(F.lit(1.0), F.lit(0.0)))).otherwise(F.array(sold))
+    lines = li.join(p, F.col("l_partkey") == p.p_partkey, "left").groupBy("l_orderkey").agg(F.flatten(F.collect_list(one)).alias("det"))
+    return o.join(lines, key == F.col("l_orderkey"), "left").select(
         F.struct(
             key.alias("codigo_pedido"),
             stage.alias("etapa"),
             F.when(key % 29 != 0, F.date_format("o_orderdate", "dd/MM/yyyy")).alias("data_previsao"),
         ).alias("cabecalho"),
         F.struct(F.col("o_totalprice").alias("valor_mercadorias")).alias("total_pedido"),
-    ]
-    # Lines drive the join, so an order with very many lines can be split; orders
-    # without lines are found against the distinct order keys.
-    lines = li.join(o, li.l_orderkey == o.o_orderkey, "left").join(p, F.col("l_partkey") == p.p_partkey, "left")
-    full = lines.select(*header, det.alias("det"))
-    none = F.lit(None).cast(full.schema["det"].dataType).alias("det")
-    if not items:
-        return o.select(*header, none)
-    keys = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    return full.unionByName(o.join(keys, "o_orderkey", "left_anti").select(*header, none))
-
-
-def order_items(spark: SparkSession, sf: str, items: bool = True) -> DataFrame:
-    return normalize.order_items(raw_orders(spark, sf, items))
+        "det",
+    )
+
+
+def order_items(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.order_items(raw_orders(spark, sf))
 
 
 def clients(spark: SparkSession, sf: str) -> DataFrame:
