@@ -131,15 +131,15 @@ def build_ledger(
     ignored = tuple(ignored)
     titles = type_titles(receivables, K.INFLOW, ignored).unionByName(type_titles(payables, K.OUTFLOW, ignored))
     cat = categories.select(F.col("codigo").alias("categoria_codigo"), F.col("nome").alias("_categoria"))
-    prj = projects.select(F.col("id").alias("projeto_id"), F.col("nome").alias("_projeto"))
-    cli = clients.select(F.col("id").alias("cliente_id"), F.col("nome").alias("_cliente"))
+    prj = projects.select(F.col("id").alias("_prj"), F.col("nome").alias("_projeto"))
+    cli = clients.select(F.col("id").alias("_cli"), F.col("nome").alias("_cliente"))
     # The title id is the only lookup as large as the ledger itself, so it goes first:
     # one co-partitioned shuffle of narrow rows.
     j = (
         titles.join(payments, "id", "left")
         .join(cat, "categoria_codigo", "left")
-        .join(prj, "projeto_id", "left")
-        .join(cli, "cliente_id", "left")
+        .join(prj, F.coalesce("projeto_id", _nowhere("id")) == F.col("_prj"), "left")
+        .join(cli, F.coalesce("cliente_id", _nowhere("id")) == F.col("_cli"), "left")
     )
     name = F.coalesce("_categoria", "categoria_codigo")
     inflow = F.col("tipo") == K.INFLOW
@@ -171,6 +171,14 @@ def build_ledger(
     return out
 
 
+def _nowhere(c: str) -> Column:
+    """A key that no lookup has, another for each row: rows without a key spread over all tasks of a shuffled join.
+
+    Ids of projects and clients are positive.
+    """
+    return -F.abs(F.xxhash64(c) % (1 << 62)) - 1
+
+
 def order_items(raw: DataFrame) -> DataFrame:
     """Sales orders, one row per item; an order without items keeps one row with NULL item columns."""
     rows = raw.select(

@@ -115,14 +115,14 @@ def _inflow(spark: SparkSession, sf: str, need: set[str]) -> DataFrame:
     if "category" in need:
         cols += ["concat('1.01.0', left(o_orderpriority, 1)) AS categoria_codigo", f"{SEGMENT} AS categoria_nome"]
     if "direct" in need:
-        cols.append(f"contains(lower(coalesce({SEGMENT}, '')), 'faturamento direto') AS is_faturamento_direto")
+        cols.append(f"{SEGMENT} AS _direct")
     if "project" in need:
         cols.append("nullif(o_custkey % 500, 0) AS projeto_id")
     if "client" in need:
         cols += ["o_custkey AS cliente_id", "coalesce(c_name, '') AS cliente_nome"]
     if "account" in need:
         cols.append("bigint(c_nationkey) AS conta_corrente_id")
-    return o.selectExpr(*cols)
+    return _direct(o.selectExpr(*cols), T.is_direct_inflow)
 
 
 DOCUMENT = """CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN concat('FD NF ', l_orderkey)
@@ -155,14 +155,24 @@ def _outflow(spark: SparkSession, sf: str, need: set[str]) -> DataFrame:
         codes = " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in PART_CODES.items())
         cols += [f"CASE p_type {codes} END AS categoria_codigo", "p_type AS categoria_nome"]
     if "direct" in need:
-        cols.append(f"contains(lower({DOCUMENT}), 'fd') AS is_faturamento_direto")
+        cols.append(f"{DOCUMENT} AS _direct")
     if "project" in need:
         cols.append("nullif(o_custkey % 500, 0) AS projeto_id")
     if "client" in need:
         cols += [f"l_suppkey + {SUPPLIER_BASE} AS cliente_id", "coalesce(s_name, '') AS cliente_nome"]
     if "account" in need:
         cols.append("bigint(s_nationkey) AS conta_corrente_id")
-    return li.selectExpr(*cols)
+    return _direct(li.selectExpr(*cols), T.is_direct_outflow)
+
+
+def _direct(rows: DataFrame, rule) -> DataFrame:
+    """The billing rule of the side on its name or document number."""
+    if "_direct" not in rows.columns:
+        return rows
+    at = rows.columns.index("_direct")
+    kept = [F.col(c) for c in rows.columns]
+    kept[at] = rule("_direct").alias("is_faturamento_direto")
+    return rows.select(*kept)
 
 
 # --- landed records ----------------------------------------------------------
@@ -186,6 +196,19 @@ def categories(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.clean_categories(raw_categories(spark, sf))
 
 
+def inflow_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """The one named category of inflow titles: direct billing."""
+    used = table(spark, sf, "orders").select(F.concat(F.lit("1.01.0"), F.substring("o_orderpriority", 1, 1)).alias("codigo"))
+    direct = used.filter(F.col("codigo") == "1.01.03").distinct()
+    return direct.select("codigo", F.concat(F.col("codigo"), F.lit(" - Faturamento Direto")).alias("descricao"))
+
+
+def landed_twice(raw: DataFrame, name: str, old: str) -> DataFrame:
+    """Every record on page 2 and, with an old name, on page 1: pages shift while they are fetched."""
+    page = lambda df, n: df.withColumns({"_page": F.lit(n).cast("long"), "_pos": F.lit(0)})
+    return page(raw, 2).unionByName(page(raw.withColumn(name, F.lit(old)), 1))
+
+
 def raw_receivables(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")

@@ -10,8 +10,9 @@ from ledgerline.functions import money as M
 from ledgerline.functions import text as T
 from ledgerline.operators import normalize, sales
 from ledgerline.plans import inputs as I
-from ledgerline.plans.checks import PART_CODE, WORKDAY, check, m, part, ym
+from ledgerline.plans.checks import PART_CODE, WORKDAY, check, d, m, part, ym
 from ledgerline.plans.registry import query
+from ledgerline.sources import document
 
 IGN = "(conta IS NULL OR conta <> 24)"
 part(
@@ -37,29 +38,30 @@ part(
     "raw",
 )
 
+DIRECT = "CASE WHEN tipo = 'entrada' THEN categoria_codigo = '1.01.03' ELSE numero_documento ILIKE '%fd%' OR COALESCE(fiscal, '') ILIKE '%fd%' END"
 LEDGER_SQL = f"""SELECT t.id, tipo, valor, status, data_vencimento, data_emissao, data_pagamento, data_previsao, numero_documento, categoria_codigo,
- CASE WHEN tipo = 'entrada' THEN categoria_codigo ELSE (CASE categoria_codigo WHEN '2.01.01' THEN 'ECONOMY' WHEN '2.02.01' THEN 'STANDARD' WHEN '2.03.01' THEN 'MEDIUM'
+ CASE WHEN tipo = 'entrada' THEN CASE categoria_codigo WHEN '1.01.03' THEN 'Faturamento Direto' ELSE categoria_codigo END ELSE (CASE categoria_codigo WHEN '2.01.01' THEN 'ECONOMY' WHEN '2.02.01' THEN 'STANDARD' WHEN '2.03.01' THEN 'MEDIUM'
   WHEN '2.04.01' THEN 'SMALL' WHEN '2.10.01' THEN 'LARGE' WHEN '2.05.01' THEN 'PROMO' END) END AS categoria_nome,
  regexp_extract(categoria_codigo, '^[^.]*\\.[^.]*') AS categoria_grupo, projeto_id,
  CASE WHEN projeto_id IS NULL OR projeto_id % 50 = 0 THEN 'Sem projeto' WHEN projeto_id % 7 = 0 THEN 'SK Projeto ' || projeto_id ELSE 'Projeto ' || projeto_id END AS projeto_nome,
  cliente_id, CASE WHEN tipo = 'saida' THEN s_name WHEN cliente_id = 0 OR cliente_id % 25 = 0 THEN '' WHEN cliente_id % 5 = 0 THEN c_name || ' SA' ELSE c_name END AS cliente_nome,
- CAST(conta AS BIGINT) AS conta_corrente_id, numero_documento ILIKE '%fd%' OR COALESCE(fiscal, '') ILIKE '%fd%' AS is_faturamento_direto,
- CASE WHEN numero_documento ILIKE '%fd%' OR COALESCE(fiscal, '') ILIKE '%fd%' THEN 'FD' ELSE 'SK' END AS modalidade
+ CAST(conta AS BIGINT) AS conta_corrente_id, {DIRECT} AS is_faturamento_direto, CASE WHEN {DIRECT} THEN 'FD' ELSE 'SK' END AS modalidade
  FROM clean_titles t LEFT JOIN customer ON tipo = 'entrada' AND c_custkey = cliente_id LEFT JOIN supplier ON tipo = 'saida' AND s_suppkey = cliente_id - 1000000000"""
 
 
 def _client_names(s, sf):
-    return normalize.client_names(I.raw_clients(s, sf, suppliers=True))
+    return normalize.client_names(I.landed_twice(I.raw_clients(s, sf, suppliers=True), "nome_fantasia", "velho"))
 
 
-# Customer 0 has no usable id and every 25th customer has neither name.
+# Customer 0 has no usable id and every 25th customer has neither name. Every lookup record has
+# an older one with another name; direct billing comes by category for inflows, by document else.
 @query("ledger_build", check(LEDGER_SQL, "clean_titles"))
 def _(s, sf):
     return normalize.build_ledger(
         I.raw_receivables(s, sf),
         I.raw_payables(s, sf),
-        I.categories(s, sf),
-        normalize.clean_projects(I.raw_projects(s, sf)),
+        normalize.clean_categories(I.landed_twice(I.raw_categories(s, sf).unionByName(I.inflow_categories(s, sf)), "descricao", "0.1 - velho")),
+        normalize.clean_projects(I.landed_twice(I.raw_projects(s, sf), "nome", "velho")),
         _client_names(s, sf),
         normalize.payment_dates(I.raw_movements(s, sf)),
         I.IGNORED,
@@ -117,6 +119,32 @@ def _(s, sf):
     return normalize.missing_categories(used, I.categories(s, sf))
 
 
+# The document's ledger rows: texts instead of dates and NULLs.
+@query(
+    "document_ledger",
+    check(
+        """SELECT id, valor, tipo, status, strftime(data, '%d/%m/%Y') AS data, strftime(data_vencimento, '%d/%m/%Y') AS data_vencimento,
+ coalesce(strftime(data_pagamento, '%d/%m/%Y'), '') AS data_pagamento, strftime(data_previsao, '%d/%m/%Y') AS data_previsao, strftime(data_emissao, '%d/%m/%Y') AS data_emissao,
+ categoria_codigo AS categoria, categoria_nome, projeto_id AS projeto, projeto_nome, cliente_nome, fd AS is_fd, CASE WHEN fd THEN 'FD' ELSE 'SK' END AS modalidade FROM L""",
+        "L",
+    ),
+)
+def _(s, sf):
+    return document.ledger_block(I.ledger(s, sf, "category", "direct", "project", "client"))
+
+
+@query(
+    "document_balances",
+    check(
+        f"""SELECT conta_id AS id, conta_nome AS nome, conta_tipo AS tipo, saldo, saldo_conciliado, {d('saldo', 'saldo_conciliado')} AS diferenca,
+ strftime(DATE '{I.AS_OF}' - 1, '%d/%m/%Y') AS data FROM saldos""",
+        "saldos",
+    ),
+)
+def _(s, sf):
+    return document.balance_block(I.balances(s, sf))
+
+
 @query("normalize_clients", check("SELECT * FROM cli", "cli"))
 def _(s, sf):
     return I.clients(s, sf)

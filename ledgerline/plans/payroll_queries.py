@@ -84,6 +84,12 @@ def _(s, sf):
     return _demo(s, sf)
 
 
+# What may leave the restricted data, as the export writes it: aggregates without names.
+@query("payroll_public_people", check("SELECT mes, area, idade_media, tempo_casa_medio, hc, custo_per_capita FROM demo", "demo"))
+def _(s, sf):
+    return R.public_rows(_demo(s, sf), R.salary_bands(I.payroll_sheet(s, sf), I.LEVEL_RULES))[0]
+
+
 @query("payroll_monthly_cost", check("SELECT mes, rubrica, valor FROM custo WHERE rubrica <> 'treinamentos'", "custo"))
 def _(s, sf):
     return R.drop_empty_series(_cost(s, sf))

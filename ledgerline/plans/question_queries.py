@@ -327,6 +327,12 @@ part(
 )
 
 
+@query("question_tokens", check("SELECT pergunta, array_to_string(w, ' ') AS palavras, len(w) AS qtd FROM palavras", "palavras"))
+def _(s, sf):
+    words = T.tokens("texto")
+    return I.questions(s, sf).select("pergunta", F.concat_ws(" ", words).alias("palavras"), F.size(words).cast("long").alias("qtd"))
+
+
 @query(
     "name_resolver",
     check(

@@ -10,7 +10,7 @@ from ledgerline.operators import health, maintenance
 from ledgerline.plans import inputs as I
 from ledgerline.plans.checks import check, d, part
 from ledgerline.plans.registry import query
-from ledgerline.sources.tables import within_retention
+from ledgerline.sources.tables import log_rows, within_retention
 from ledgerline.streaming import rate_limit
 
 TODAY = f"DATE '{I.AS_OF}'"
@@ -144,6 +144,23 @@ def _(s, sf):
     return maintenance.snapshot_rows(points.withColumn("saldo_conciliado", F.round(F.col("saldo") - 1.25, 2)))
 
 
+# Every event as a run: views still run, errors fail with a text of about 5,000 characters.
+@query(
+    "run_log_rows",
+    check(
+        """SELECT s.sync_id, s.started_at, s.finished_at, s.status, date_sub('second', s.started_at, s.finished_at) AS duration_seconds, user_id AS lancamentos_count,
+ left(CASE WHEN s.status = 'failed' THEN repeat('erro ' || s.sync_id || ' ', 600) END, 4000) AS error_message, FALSE AS is_incremental FROM slog s JOIN events ON CAST(event_id AS VARCHAR) = sync_id""",
+        "slog",
+    ),
+)
+def _(s, sf):
+    users = I.table(s, sf, "events").select(F.col("event_id").cast("string").alias("sync_id"), F.col("user_id").alias("lancamentos_count"))
+    error = F.when(F.col("status") == "failed", F.repeat(F.concat(F.lit("erro "), "sync_id", F.lit(" ")), F.lit(600)))
+    rows = log_rows(I.sync_log(s, sf).join(users, "sync_id").withColumn("error", error).drop("status"))
+    kept = ["sync_id", "status", "duration_seconds", "lancamentos_count", "error_message", "is_incremental"]
+    return rows.select(*kept, *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started_at", "finished_at")])
+
+
 @query(
     "sync_health",
     check(

@@ -373,41 +373,38 @@ def within_retention(
     return history.filter(F.col(day) >= F.add_months(F.lit(day_of), -months))
 
 
+def log_rows(runs: DataFrame) -> DataFrame:
+    """Run events in the shape of the log.
+
+    ``runs``: sync_id, started_at, finished_at (NULL while it runs), error (NULL for a success) and any counts.
+    """
+    open_, failed = F.col("finished_at").isNull(), F.col("error").isNotNull()
+    rows = runs.withColumns(
+        {
+            "status": F.when(open_, "running").when(failed, "failed").otherwise("success"),
+            "duration_seconds": F.timestamp_diff("SECOND", "started_at", "finished_at"),
+            "error_message": F.when(~open_, F.substring("error", 1, K.MAX_ERROR_CHARS)),
+            "is_incremental": F.lit(False),
+        }
+    )
+    return conform(rows, "sync_log")
+
+
+RUN = "sync_id STRING, started_at TIMESTAMP, finished_at TIMESTAMP, error STRING"
+
+
 def log_start(spark: SparkSession, sync_id: str, started_at: dt.datetime) -> DataFrame:
-    return _log_row(spark, sync_id=sync_id, started_at=started_at, status="running", is_incremental=False)
+    return log_rows(spark.createDataFrame([(sync_id, started_at, None, None)], RUN))
 
 
 def log_success(
     spark: SparkSession, sync_id: str, started_at: dt.datetime, finished_at: dt.datetime, counts: dict[str, int]
 ) -> DataFrame:
-    counted = {f"{k}_count": counts.get(k, 0) for k in ("lancamentos", "saldos", "clientes", "projetos", "categorias")}
-    return _log_row(
-        spark,
-        sync_id=sync_id,
-        started_at=started_at,
-        finished_at=finished_at,
-        status="success",
-        duration_seconds=int((finished_at - started_at).total_seconds()),
-        is_incremental=False,
-        **counted,
-    )
+    counted = {f"{k}_count": F.lit(counts.get(k, 0)) for k in ("lancamentos", "saldos", "clientes", "projetos", "categorias")}
+    return log_rows(spark.createDataFrame([(sync_id, started_at, finished_at, None)], RUN).withColumns(counted))
 
 
 def log_failure(
     spark: SparkSession, sync_id: str, started_at: dt.datetime, finished_at: dt.datetime, error: str
 ) -> DataFrame:
-    return _log_row(
-        spark,
-        sync_id=sync_id,
-        started_at=started_at,
-        finished_at=finished_at,
-        status="failed",
-        duration_seconds=int((finished_at - started_at).total_seconds()),
-        error_message=str(error)[: K.MAX_ERROR_CHARS],
-        is_incremental=False,
-    )
-
-
-def _log_row(spark: SparkSession, **values) -> DataFrame:
-    schema = TABLES["sync_log"].schema
-    return spark.createDataFrame([tuple(values.get(f.name) for f in schema)], schema)
+    return log_rows(spark.createDataFrame([(sync_id, started_at, finished_at, str(error))], RUN))
