@@ -4,9 +4,13 @@ Inner products become distances by one more coordinate: with M the largest norm,
 x' = (x, sqrt(M^2 - |x|^2)) and q' = (q, 0) give |q' - x'|^2 = M^2 + |q|^2 - 2 q.x, so the
 nearest by distance is the largest by product. Vectors are dealt to shards by a hash of
 their id; each shard builds a tree: a vantage point, the others split at the median
-distance from it, and each half knows its smallest and largest distance. A half is left
-out for a query if the triangle inequality puts all of it beyond the query's k-th best
-so far. The bound is multiplied by ``factor``: 1 is exact search, more leaves out more.
+distance from it, and each half knows its smallest and largest distance. By the triangle
+inequality a half is at least as far from a query as its range is from the query's own
+distance to the vantage point; the largest such bound on the way down counts. A node is left
+out if its bound times ``factor`` exceeds the distance of the query's k-th best so far: factor 1
+is exact search, more leaves out more. Every query first goes straight down to one small
+subtree, so that its k-th best is near before anything else is looked at. Vantage points
+are scored as they are met.
 
 All queries meet every shard, in blocks: a task holds one shard and one block of queries,
 whose sizes are parameters, and walks the tree with all of the block's queries at once.
@@ -27,16 +31,22 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Scratch
 
-LEAF = 128
+LEAF = 16
+FIRST = 64  # points, at least, that a query looks at before it leaves anything out
 SHARD = 8192
 BLOCK = 4096
+UNITS = 1 << 16  # tasks, at most
 SPARE = 8  # points kept beyond k, so that rounding in the search can't push one out
 SLACK = 1e-7
 ROW = "query_id bigint, vec_id bigint, score double"
 
 
 class Tree:
-    """Points in tree order. A node is (first, last, vantage, near, far); near and far are (node, least, most distance)."""
+    """Points in tree order. A node is (first, last, vantage, halves); a half is (node, least, most distance).
+
+    Node ``first`` to ``last`` covers its halves and, in front of them, its vantage point.
+    ``scored`` counts the products that searches have computed.
+    """
 
     def __init__(self, points: np.ndarray, norm2: float):
         self.x = points
@@ -45,22 +55,22 @@ class Tree:
         self.norm2 = norm2
         self.order = np.arange(len(points))
         self.root = self._build(0, len(points))
+        self.scored = 0
 
     def _build(self, first: int, last: int):
         if last - first <= LEAF:
-            return (first, last, None, None, None)
+            return (first, last, None, ())
         own = self.order[first:last]
         # the point farthest from the first one: an edge point separates best
         from_first = ((self.lifted[own] - self.lifted[own[0]]) ** 2).sum(axis=1)
         vantage = own[int(from_first.argmax())]
         d = np.sqrt(((self.lifted[own] - self.lifted[vantage]) ** 2).sum(axis=1))
+        d[own == vantage] = -1  # sorts to the front
         rank = np.argsort(d, kind="stable")
         self.order[first:last], d = own[rank], d[rank]
-        mid = (last - first) // 2
-        halves = []
-        for a, b in ((0, mid), (mid, last - first)):
-            halves.append((self._build(first + a, first + b), d[a], d[b - 1]))
-        return (first, last, vantage, *halves)
+        mid = (1 + last - first) // 2
+        halves = tuple((self._build(first + a, first + b), d[a], d[b - 1]) for a, b in ((1, mid), (mid, last - first)))
+        return (first, last, vantage, halves)
 
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """The k best points of each query by product: (points, products), unordered; point -1 where there are fewer."""
@@ -68,27 +78,50 @@ class Tree:
         best = np.full((n, k), -np.inf)
         point = np.full((n, k), -1, dtype=np.int64)
         base = self.norm2 + (queries * queries).sum(axis=1)
+        seen = np.full((n, 2), -1)  # the part of the order that a query has looked at first
+
+        def score(q: np.ndarray, own: np.ndarray) -> np.ndarray:
+            new = queries[q] @ self.x[own].T
+            self.scored += new.size
+            product = np.hstack([best[q], new])
+            which = np.hstack([point[q], np.broadcast_to(own, (len(q), len(own)))])
+            top = np.argpartition(-product, k - 1, axis=1)[:, :k]
+            best[q] = np.take_along_axis(product, top, axis=1)
+            point[q] = np.take_along_axis(which, top, axis=1)
+            return new
+
+        def bounds(q: np.ndarray, new: np.ndarray, halves) -> list[np.ndarray]:
+            d = np.sqrt(np.maximum(base[q] - 2 * new, 0))
+            return [np.maximum(np.maximum(least - d, d - most), 0) for _, least, most in halves]
+
+        down = [(self.root, np.arange(n))]
+        while down:
+            (first, last, vantage, halves), q = down.pop()
+            if vantage is None or last - first <= 2 * FIRST:
+                score(q, self.order[first:last])
+                seen[q] = first, last
+                continue
+            new = queries[q] @ self.x[vantage]
+            self.scored += len(q)
+            near, far = bounds(q, new, halves)
+            for half, mine in zip(halves, (near <= far, near > far), strict=True):
+                if mine.any():
+                    down.append((half[0], q[mine]))
         stack = [(self.root, np.arange(n), np.zeros(n))]
         while stack:
-            (first, last, vantage, near, far), q, bound = stack.pop()
+            (first, last, vantage, halves), q, bound = stack.pop()
             # the bound was set when the node was put off; better points may have come since
-            q = q[bound * factor <= self._reach(best[q], base[q])]
+            on = (bound * factor <= self._reach(best[q], base[q])) & ((seen[q, 0] > first) | (seen[q, 1] < last))
+            q, bound = q[on], bound[on]
             if not len(q):
                 continue
             if vantage is None:
-                own = self.order[first:last]
-                product = np.hstack([best[q], queries[q] @ self.x[own].T])
-                which = np.hstack([point[q], np.broadcast_to(own, (len(q), len(own)))])
-                top = np.argpartition(-product, min(k, product.shape[1] - 1), axis=1)[:, :k]
-                best[q] = np.take_along_axis(product, top, axis=1)
-                point[q] = np.take_along_axis(which, top, axis=1)
+                score(q, self.order[first:last])
                 continue
-            d = np.sqrt(np.maximum(base[q] - 2 * (queries[q] @ self.x[vantage]), 0))
-            halves = []
-            for node, least, most in (near, far):
-                halves.append((node, q, np.maximum(np.maximum(least - d, d - most), 0)))
-            closer = (halves[0][2] <= halves[1][2]).mean() >= 0.5
-            stack += [halves[1], halves[0]] if closer else halves
+            new = score(q, self.order[first : first + 1])[:, 0]
+            near, far = bounds(q, new, halves)
+            later = [(half[0], q, np.maximum(bound, own)) for half, own in zip(halves, (near, far), strict=True)]
+            stack += later[::-1] if (near <= far).mean() >= 0.5 else later
         return point, best
 
     @staticmethod
@@ -183,6 +216,9 @@ def nearest(
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     points = sized.select("dim", "norm2", "vec_id", "v", F.lit(False).alias("is_query"), shard.alias("shard"), every("blocks").alias("block"))
     queries = sized.filter("asks").select("dim", "norm2", "vec_id", "v", F.lit(True).alias("is_query"), every("shards").alias("shard"), block.alias("block"))
-    found = points.union(queries.select(points.columns)).groupBy("dim", "shard", "block").applyInArrow(_unit(k, factor), ROW)
+    units = by_dim.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1
+    # a task for each unit: units are small in bytes but not in work, so they are not put together by size
+    dealt = points.union(queries.select(points.columns)).repartition(min(units, UNITS), "dim", "shard", "block")
+    found = dealt.groupBy("dim", "shard", "block").applyInArrow(_unit(k, factor), ROW)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
