@@ -12,11 +12,15 @@ shingles are looked at, at every word. There each window gets a 64-bit SimHash o
 shingles. The bits are cut in ``BLOCKS`` blocks; fingerprints within ``radius`` bits
 differ in at most ``radius // BLOCKS`` bits of some block, so a table of each block's
 values to that distance yields every item within the radius. Those candidates are
-checked exactly. At similarity 0.8 the fingerprints differ in about 10 bits if shingles
-differ singly, but in any number of bits if repeated shingles weigh one side down. So a window
-and an item are also checked exactly, at any distance, if enough of the window's shingles
-occur in the item: to reach the similarity s, shingles numbering a and b must have
-s (a + b) / (1 + s) in common. No window that reaches ``min_similarity`` is left out.
+checked exactly.
+
+The radius covers a window and an item by their weights: what they must have in common for
+the similarity s, s (a + b) / (1 + s) of a and b shingles, over the product of their norms is a
+lower bound of their cosine, and so of the bits that they differ in (64 angle / pi, give or
+take). Where ``SPREAD`` standard deviations more still lie within the radius, the blocks alone
+name the candidates: at similarity 0.8 and with shingles that don't repeat, a window is missed
+with probability 1e-5. Repeated shingles make the norms large and the bound weak: windows
+beyond it are also checked, at any distance, against items that enough of their shingles occur in.
 
 The benchmark goes to the tasks in passes of at most ``pass_bytes`` of text, so what is
 sent never grows with it; every pass reads all documents.
@@ -42,7 +46,8 @@ from ledgerline.llm.common import text_of
 
 SHINGLE = 5
 BLOCKS = 6
-RADIUS = 20
+RADIUS = 22
+SPREAD = 4.2
 DOCS = 200  # documents whose words are hashed together
 TABLE_BITS = 22
 FOUND = "item_id bigint, similarity double, distance int, first_word int, n_words int"
@@ -100,11 +105,19 @@ class Index:
         return q[on], m[on], d[on]
 
 
+def least_cosine(radius: int) -> float:
+    """Least cosine whose fingerprints differ in at most ``radius`` bits, ``SPREAD`` standard deviations included."""
+    share = np.linspace(0, 0.5, 10_001)
+    fits = 64 * share + SPREAD * np.sqrt(64 * share * (1 - share)) <= radius
+    return float(np.cos(np.pi * share[fits].max()))
+
+
 class Finder:
     """The items of one pass, ready to be looked for."""
 
     def __init__(self, items: list[tuple[int | None, str]], min_similarity: float, radius: int):
         self.least = min_similarity
+        self.cosine = least_cosine(radius)
         self.ids = []
         self.counts: list[Counter] = []
         self.fps: list[np.uint64] = []
@@ -126,6 +139,7 @@ class Finder:
                 shared[k][h].add(len(words))
                 self.owners[len(words), k][h].append(n)
         self.sizes = {s: (np.array(own), Index(np.array([self.fps[i] for i in own], dtype=np.uint64), radius)) for s, own in by_size.items()}
+        self.norms = {s: max(sum(c * c for c in self.counts[i].values()) for i in own) ** 0.5 for s, own in by_size.items()}
         self.shared = {}
         for k, sizes in shared.items():
             table = np.zeros(1 << TABLE_BITS, dtype=bool)
@@ -185,8 +199,10 @@ class Finder:
                 fps = _pack(upto[first + per] - upto[first])
                 q, m, d = index.within(fps)
                 pairs = dict(zip(zip(q.tolist(), members[m].tolist()), d.tolist()))
+                # windows whose weights leave the bits open
+                wide = least_common < self.cosine * self.norms[n, k] * self._norms(grams, first, per)
                 a, b = np.searchsorted(p, group), np.searchsorted(p, group + per)
-                for i in np.nonzero(b - a >= least_common)[0].tolist():
+                for i in np.nonzero(wide & (b - a >= least_common))[0].tolist():
                     common = Counter(j for _, h in hits[a[i] : b[i]] for j in self.owners[n, k][h])
                     pairs |= {(i, j): int(np.bitwise_count(fps[i] ^ self.fps[j])) for j, c in common.items() if c >= least_common}
                 for (i, j), dist in pairs.items():
@@ -198,6 +214,23 @@ class Finder:
                             best[j] = (mark, (j, both, dist, int(group[0]) + i, length))
         return [best[j][1] for j in sorted(best)]
 
+    @staticmethod
+    def _norms(grams: list[str], first: np.ndarray, per: int) -> np.ndarray:
+        """Norms of the windows' shingle weights; the windows follow one another."""
+        if len(set(grams)) == len(grams):
+            return np.full(len(first), per**0.5)
+        held = Counter(grams[first[0] : first[0] + per])
+        square = sum(c * c for c in held.values())
+        out = [square]
+        for i in first[1:].tolist():
+            gone, new = grams[i - 1], grams[i + per - 1]
+            square -= 2 * held[gone] - 1
+            held[gone] -= 1
+            square += 2 * held[new] + 1
+            held[new] += 1
+            out.append(square)
+        return np.sqrt(out)
+
     @staticmethod
     def _similar(grams: list[str], item: Counter) -> float:
         own = Counter(g for g in grams if g in item)
