@@ -8,12 +8,13 @@ can't be compressed, so that a window's length tells how much of it the dictiona
 seen, and nothing else (plain letters drown that in the costs of entropy tables).
 
 Training takes at most ``sample`` labelled rows of each class, those with the smallest
-hash of the id. Three quarters of them train the dictionaries: codes that occur in
-documents of the class more often than in the other (at least twice the share, log
-likelihood ratio of ``evidence`` or more), the strongest last, where matches cost least. They are
-raw content for zstandard, not the output of its dictionary trainer.
-The others calibrate: a logistic curve over the bytes that windows save with the toxic
-dictionary, in all and per word. Score 0.5 is the threshold.
+hash of the id. Three quarters of them train the dictionaries: the toxic one holds codes that
+occur in toxic documents at least twice as often as in ordinary ones, with a log likelihood ratio
+of ``evidence`` or more; the ordinary one codes of ordinary documents that lean their way with a
+ratio of ``ordinary_evidence`` (nothing is twice as frequent in nearly all of the corpus). The strongest come
+last, where matches cost least. They are raw content for zstandard, not the output of its dictionary trainer.
+The others calibrate: a logistic curve over the bytes that windows save with either dictionary
+against a plain compressor, in all and per word. Score 0.5 is the threshold.
 
 Null texts count as empty; empty texts save nothing and get the curve's lowest
 score. Labels that are null are not used, a document labelled twice counts as toxic if
@@ -99,8 +100,8 @@ class Meter:
 
         self.coder = Coder()
         self.length = []
-        for content in (ordinary, toxic):
-            if len(content) < 8:  # nothing characteristic: a plain compressor
+        for content in (b"", ordinary, toxic):
+            if len(content) < 8:  # the plain compressor, or nothing characteristic
                 made = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
             else:
                 # the library indexes no position in the last 8 bytes
@@ -109,19 +110,21 @@ class Meter:
                 made = zstandard.ZstdCompressor(dict_data=own, write_content_size=False, write_checksum=False, write_dict_id=False)
             self.length.append(made.compress)
 
-    def saved(self, text: str) -> tuple[int, int]:
-        """Bytes saved by the toxic dictionary, summed over the windows that gain, and the codes."""
+    def saved(self, text: str) -> tuple[int, int, int]:
+        """Bytes saved by the toxic and by the ordinary dictionary, summed over the windows that gain, and the codes."""
         codes = self.coder.codes(text)
-        ordinary, toxic = self.length
-        total = 0
+        plain, ordinary, toxic = self.length
+        by_toxic = by_ordinary = 0
         for at in range(0, len(codes), WINDOW):
             window = b"".join(codes[at : at + WINDOW])
-            total += max(len(ordinary(window)) - len(toxic(window)), 0)
-        return total, len(codes)
+            alone = len(plain(window))
+            by_toxic += max(alone - len(toxic(window)), 0)
+            by_ordinary += max(alone - len(ordinary(window)), 0)
+        return by_toxic, by_ordinary, len(codes)
 
 
 class Model:
-    """Dictionaries and curve. Small: two contents of at most ``size`` bytes and three weights."""
+    """Dictionaries and curve. Small: two contents of at most ``size`` bytes and five weights."""
 
     def __init__(self, ordinary: bytes, toxic: bytes, weights: list[float] | None):
         self.ordinary, self.toxic, self.weights = ordinary, toxic, weights
@@ -134,9 +137,10 @@ class Model:
         return 1 / (1 + np.exp(-(x @ np.array(self.weights))))
 
 
-def features(saved: list[tuple[int, int]]) -> np.ndarray:
-    s = np.array(saved, dtype=float).reshape(-1, 2)
-    return np.stack([np.ones(len(s)), np.log1p(s[:, 0]), np.log1p(100 * s[:, 0] / np.maximum(s[:, 1], 1))], axis=1)
+def features(saved: list[tuple[int, int, int]]) -> np.ndarray:
+    s = np.array(saved, dtype=float).reshape(-1, 3)
+    words = np.maximum(s[:, 2], 1)
+    return np.stack([np.ones(len(s)), *(f for i in (0, 1) for f in (np.log1p(s[:, i]), np.log1p(100 * s[:, i] / words)))], axis=1)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> list[float]:
@@ -168,11 +172,11 @@ def _ratio(a: int, n: int, b: int, m: int) -> float:
     return 2 * (fit(a, n, a / n) + fit(b, m, b / m) - fit(a, n, p) - fit(b, m, p))
 
 
-def dictionary(counts: list[tuple[bytes, int, int]], n: int, m: int, evidence: float, size: int) -> bytes:
-    """Content from (code, documents of the class, documents of the other)."""
+def dictionary(counts: list[tuple[bytes, int, int]], n: int, m: int, evidence: float, size: int, lean: float) -> bytes:
+    """Content from (code, documents of the class, documents of the other); ``lean``: least ratio of the shares."""
     strong = []
     for code, a, b in counts:
-        if a >= 4 and a * m > 2 * b * n:
+        if a >= 4 and a * m > lean * b * n:
             r = _ratio(a, n, b, m)
             if r >= evidence:
                 strong.append((r, code))
@@ -188,6 +192,7 @@ def train(
     fold: int = 5,
     sample: int = 3000,
     evidence: float = 15.0,
+    ordinary_evidence: float = 3.0,
     size: int = 1 << 16,
 ) -> Model:
     """Learns from rows whose crc32 of the id is not a multiple of ``fold``."""
@@ -221,23 +226,24 @@ def train(
         fit.select("y", F.explode("codes").alias("code"))
         .groupBy("code")
         .agg(F.count_if(F.col("y") == 1).alias("t"), F.count_if(F.col("y") == 0).alias("o"))
-        .filter(((F.col("t") >= 4) & (F.col("t") * n0 > F.col("o") * (2 * n1))) | ((F.col("o") >= 4) & (F.col("o") * n1 > F.col("t") * (2 * n0))))
+        .filter(((F.col("t") >= 4) & (F.col("t") * n0 > F.col("o") * (2 * n1))) | ((F.col("o") >= 20) & (F.col("o") * n1 > F.col("t") * n0)))
         .collect()
     )  # words of the sample that lean to one class
-    toxic = dictionary([(bytes(r["code"]), r["t"], r["o"]) for r in counts], n1, n0, evidence, size)
-    ordinary = dictionary([(bytes(r["code"]), r["o"], r["t"]) for r in counts], n0, n1, evidence, size)
+    toxic = dictionary([(bytes(r["code"]), r["t"], r["o"]) for r in counts], n1, n0, evidence, size, 2)
+    usual = [(bytes(r["code"]), r["o"], r["t"]) for r in counts if r["o"] >= 20]
+    ordinary = dictionary(usual, n0, n1, ordinary_evidence, size, 1)
 
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         meter = Meter(ordinary, toxic)
         for f in frames:
             s = [meter.saved(t) for t in f["text"]]
-            yield pd.DataFrame({"id": f["id"], "y": f["y"], "saved": [a for a, _ in s], "words": [b for _, b in s]})
+            yield pd.DataFrame({"id": f["id"], "y": f["y"], "toxic": [a for a, _, _ in s], "ordinary": [b for _, b, _ in s], "words": [c for _, _, c in s]})
 
-    rows = each.filter("part = 0").select("id", "y", "text").mapInPandas(measured, "id bigint, y int, saved bigint, words bigint")
-    got = rows.orderBy("id", "saved", "words").collect()  # a quarter of the sample, four numbers each
+    rows = each.filter("part = 0").select("id", "y", "text").mapInPandas(measured, "id bigint, y int, toxic bigint, ordinary bigint, words bigint")
+    got = rows.orderBy("id", "toxic", "ordinary", "words").collect()  # a quarter of the sample, five numbers each
     if not got:
         return Model(ordinary, toxic, None)
-    x = features([(r["saved"], r["words"]) for r in got])
+    x = features([(r["toxic"], r["ordinary"], r["words"]) for r in got])
     return Model(ordinary, toxic, logistic(x, np.array([r["y"] for r in got], dtype=float)))
 
 

@@ -6,12 +6,13 @@ import re
 import struct
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, decontaminate, line_runs, pii, secrets, simhash, toxicity, url_cascade, vptree, warc
+from ledgerline.llm import byte_bpe, decontaminate, line_runs, pii, queries, secrets, simhash, toxicity, url_cascade, vptree, warc
 
 ODD = [(1, None), (2, ""), (3, " \n "), (None, "a b c"), (4, "same text here"), (4, "same text here"), (5, "same text here"), (6, "z" * 70000), (7, "été 😀 " * 300)]
 
@@ -345,9 +346,57 @@ def test_recall_with_the_registered_factor(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     all_rows = [(r.vec_id, r.embedding) for r in rows.select("vec_id", "embedding").orderBy("vec_id").collect()]
     ids, x = np.array([i for i, _ in all_rows]), np.array([v for _, v in all_rows], dtype=float)
-    got = {(r.query_id, r.vec_id) for r in vptree.nearest(rows, F.col("vec_id") % 20 == 0, k=20, factor=1.1).collect()}
+    got = {(r.query_id, r.vec_id) for r in vptree.nearest(rows, F.col("vec_id") % 20 == 0, k=20, factor=queries.NEAR).collect()}
     want = set()
     for q in np.nonzero(ids % 20 == 0)[0]:
         s = vptree.products(np.broadcast_to(x[q], x.shape), x)
         want |= {(int(ids[q]), int(ids[j])) for j in [j for j in np.lexsort((ids, -s)) if j != q][:20]}
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_the_tree_leaves_points_out():
+    rnd = np.random.default_rng(2)
+    flat = rnd.normal(size=(4000, 2)) @ rnd.normal(size=(2, 16))  # vectors of few dimensions
+    flat /= np.linalg.norm(flat, axis=1, keepdims=True)
+    tree = vptree.Tree(flat, 1.0)
+    point, best = tree.search(flat[:50], 10, 1.0)
+    want = np.sort(flat[:50] @ flat.T, axis=1)[:, -10:]
+    assert np.allclose(np.sort(best, axis=1), want) and tree.scored < 0.2 * 50 * 4000, "exact, and most products are never computed"
+    rows = duckdb.sql("SELECT embedding FROM '/root/testdata/sf0.1/embeddings.parquet' ORDER BY vec_id").fetchall()
+    x = np.array([r[0] for r in rows], dtype=float)
+    norm2, q = float((x * x).sum(axis=1).max()), x[::20]
+    top = np.argsort(-(q @ x.T), axis=1)[:, 1:21]
+    found = {}
+    for factor in (1.0, queries.NEAR):
+        tree = vptree.Tree(x, norm2)
+        point, _ = tree.search(q, 21 + vptree.SPARE, factor)
+        recall = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(top.tolist(), point.tolist())])
+        found[factor] = recall, tree.scored / (len(q) * len(x))
+    assert found[1.0][0] == 1 and found[queries.NEAR][0] >= 0.9 and found[queries.NEAR][1] < 0.93
+
+
+def test_blocks_name_the_candidates(monkeypatch):
+    rnd = random.Random(5)
+    items = [(i, " ".join(f"w{rnd.randrange(4000)}" for _ in range(rnd.choice([30, 80])))) for i in range(60)]
+    near = [" ".join([*t.split()[:-2], "other", "end"]) for _, t in items]
+    finder = decontaminate.Finder(items, 0.8, decontaminate.RADIUS)
+    found = [{j for j, *_ in f} for f in finder.find_all(near)]
+    assert found == [{i} for i in range(60)]
+    nothing = np.zeros(0, dtype=np.int64)
+    monkeypatch.setattr(decontaminate.Index, "within", lambda self, query: (nothing, nothing, nothing))
+    assert not any(finder.find_all(near)), "without the blocks nothing is found"
+
+
+def test_both_dictionaries_weigh(spark):
+    rnd = random.Random(4)
+    usual, nice, vile = ([f"{p}{i:02d}x" .translate(str.maketrans("0123456789", "abcdefghij")) for i in range(n)] for p, n in (("u", 60), ("n", 12), ("v", 12)))
+    rows = [(i, " ".join(rnd.choice(usual) for _ in range(30)) + " " + " ".join(rnd.sample(vile if i % 3 == 0 else nice, 4))) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id BIGINT, toxic INT")
+    model = toxicity.train(texts(spark, rows), labels)
+    assert model.toxic and model.ordinary
+    meter = toxicity.Meter(model.ordinary, model.toxic)
+    a, b, _ = meter.saved(" ".join(vile))
+    c, d, _ = meter.saved(" ".join(nice))
+    assert a > b and d > c
+    right = [(r.predicted == int(r.doc_id % 3 == 0)) for r in toxicity.score(texts(spark, rows), model).filter("held_out").collect()]
+    assert len(right) > 80 and all(right)
