@@ -157,9 +157,13 @@ def _find(docs: DataFrame, doc_id: str, text: str, min_length: int, reject: floa
 
         def found_in(t: str, base: list[tuple[int, int, int]]) -> tuple[list[dict], list[int]]:
             out, refused = [], []
+            at, reach = 0, 0  # base spans that begin before the token's end, and how far they go
             for m in tokens(t):
                 s, e = m.span()
-                if any(a < e and s < b for _, a, b in base):
+                while at < len(base) and base[at][1] < e:
+                    reach = max(reach, base[at][2])
+                    at += 1
+                if reach > s:
                     continue
                 enc, counts, *ps = battery(m.group())
                 size = int(counts.sum())
