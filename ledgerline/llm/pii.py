@@ -4,19 +4,22 @@ Base spans come from four patterns, leftmost non-overlapping per kind. Positions
 from the lengths of the matches and of the text between them, in code points.
 
 The method then bootstraps. Instances are the base spans (the seeds) and every other
-token with an ``@`` or at least ``min_digits`` digits, by their string. Patterns are the word to the
-left and the word to the right of an instance (lower-cased, within ``REACH`` characters).
-Both form a graph, whose edges carry the number of occurrences over all documents.
-Seeds score 1, other instances 0 at first. In each round
+token with an ``@`` or at least ``min_digits`` digits, by their string; groups of digits that
+follow a token with digits after one blank each belong to it (numbers written in groups).
+Patterns are the word to the left and the word to the right of an instance (lower-cased;
+very long words by their hash). Both form a graph, whose edges carry the number of
+occurrences over all documents. Seeds score 1, other instances 0 at first. In each round
 
 * a pattern's confidence is the mean score of its instances, occurrences counted at most
-  ``MOST_OF_ONE`` times, if at least ``min_seeds`` different seeds have it, else 0;
+  ``MOST_OF_ONE`` times, times the share of the word's occurrences in the whole corpus that stand
+  beside an instance (a word that is everywhere proves nothing), if at least ``min_seeds``
+  different seeds have it, else 0. The border of a text is no word and proves nothing;
 * a new instance's score is 1 - (1 - l)(1 - r), taken over its left and right patterns
   (the mean confidence on each side).
 
-After ``rounds`` rounds an occurrence of an instance that is no base span is found if the
-patterns on both its sides have ``accept`` confidence or more. It is reported as kind
-``context``. Base spans stay as they are.
+After ``rounds`` rounds an occurrence that is no base span is found if the pattern on one of
+its sides has ``accept`` confidence or more, or if its instance has such a score, proven by
+its other occurrences. It is reported as kind ``context``. Base spans stay as they are.
 
 Null texts count as empty. Rows that repeat id and text are one document for the graph
 and have equal results. An empty table gives an empty result. All steps are
@@ -40,31 +43,29 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 SPACE = r"\x20\x09-\x0D"
-TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
-REACH = 48
+GROUP = r"[0-9()+./-]*[0-9][0-9()+./-]*"
+TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+(?:[0-9][^{SPACE}@]*+(?![^{SPACE}])(?:\x20(?:{GROUP})(?![^{SPACE}]))*+|[0-9@][^{SPACE}]*+)"
+LONG = 64  # characters of the longest word that is a pattern by itself
 CHUNK = 256
 MOST_OF_ONE = 3
 SPAN = "struct<start: bigint, kind: int, `end`: bigint, left: string, right: string, form: string>"
 
 
-def _running(steps: Column) -> Column:
-    """Sums of all that stands before each item; in chunks, so that long arrays stay cheap."""
+def _running(steps: Column, add=lambda a, b: a + b) -> Column:
+    """Sums (or what ``add`` does, from 0) of all that stands before each item; in chunks, so that long arrays stay cheap."""
 
     def before(a: Column, value) -> Column:
-        return F.aggregate(a, F.array(F.lit(0).cast("bigint")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + value(x))))
+        return F.aggregate(a, F.array(F.lit(0).cast("bigint")), lambda acc, x: F.concat(acc, F.array(add(F.element_at(acc, -1), value(x)))))
 
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / CHUNK).cast("int")), lambda c: F.slice(steps, c * CHUNK + 1, CHUNK))
     inner = F.transform(chunks, lambda c: before(c, lambda x: x))
     offsets = before(inner, lambda c: F.element_at(c, -1))
-    return F.flatten(F.zip_with(inner, F.slice(offsets, F.lit(1), F.size(inner)), lambda c, o: F.transform(F.slice(c, F.lit(1), F.size(c) - 1), lambda x: x + o)))
+    return F.flatten(F.zip_with(inner, F.slice(offsets, F.lit(1), F.size(inner)), lambda c, o: F.transform(F.slice(c, F.lit(1), F.size(c) - 1), lambda x: add(x, o))))
 
 
-def _last_word(gap: Column) -> Column:
-    return F.lower(F.regexp_extract(F.right(gap, F.lit(REACH)), rf"([^{SPACE}]*)[{SPACE}]*$", 1))
-
-
-def _first_word(gap: Column) -> Column:
-    return F.lower(F.regexp_extract(F.left(gap, F.lit(REACH)), rf"^[{SPACE}]*([^{SPACE}]*)", 1))
+def _word(gap: Column, which: int) -> Column:
+    """The first (1) or last (-1) word of a gap, all of it."""
+    return _named(F.substring_index(_flat(gap), " ", which))
 
 
 def _matches(text: str, pattern: str, kind: int, good, maybe: Column) -> Column:
@@ -82,7 +83,7 @@ def _matches(text: str, pattern: str, kind: int, good, maybe: Column) -> Column:
             start = F.get(x["s"], i) + F.char_length(F.get(x["g"], i))
             return F.struct(
                 start.alias("start"), F.lit(kind).alias("kind"), (start + F.char_length(m)).alias("end"),
-                _last_word(F.get(x["g"], i)).alias("left"), _first_word(F.get(x["g"], i + 1)).alias("right"), m.alias("form"),
+                _word(F.get(x["g"], i), -1).alias("left"), _word(F.get(x["g"], i + 1), 1).alias("right"), m.alias("form"),
             )
 
         return F.filter(F.transform(x["m"], one), lambda s: good(s["form"]))
@@ -119,28 +120,58 @@ def _found(rows: DataFrame, min_digits: int) -> DataFrame:
     """(_id, _h, base, others): base spans, and the other identifier-like tokens that touch none of them."""
     token = _matches("_text", TOKEN, 4, lambda m: F.contains(m, F.lit("@")) | (F.length(_digits(m)) >= min_digits), F.col("_text").rlike("[0-9@]"))
     spans = rows.select("_id", "_h", base_spans("_text").alias("base"), token.alias("tokens"))
-    apart = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return spans.select("_id", "_h", "base", F.when(F.size("tokens") > 0, apart).otherwise(F.col("tokens")).alias("others"))
+    return spans.select("_id", "_h", "base", F.when(F.size("tokens") > 0, _apart("tokens", "base")).otherwise(F.col("tokens")).alias("others"))
+
+
+def _apart(tokens: str, base: str) -> Column:
+    """Tokens that touch no base span: in one order of token ends and base starts, the farthest base end so far stays before the token."""
+    none = F.lit(None).cast(SPAN)
+    begun = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("b"), b["end"].alias("to"), none.alias("t")))
+    ended = F.transform(tokens, lambda t: F.struct(t["end"].alias("at"), F.lit(0).alias("b"), F.lit(0).cast("bigint").alias("to"), t.alias("t")))
+    both = F.transform(F.array(F.sort_array(F.concat(begun, ended))), lambda e: F.struct(e.alias("e"), _running(F.transform(e, lambda x: x["to"]), F.greatest).alias("r")))
+    free = F.transform(both, lambda x: F.filter(F.transform(x["e"], lambda e, i: F.when((e["b"] == 0) & (F.get(x["r"], i) <= e["t"]["start"]), e["t"])), lambda t: t.isNotNull()))
+    return F.flatten(free)
+
+
+def _flat(text: Column) -> Column:
+    return F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     "))
+
+
+def _named(word: Column) -> Column:
+    """A lower-cased word as a pattern; very long ones by their hash."""
+    word = F.lower(word)
+    return F.when(F.char_length(word) > LONG, F.concat(F.lit("# "), F.sha2(word.cast("binary"), 256))).otherwise(word)
 
 
 def _edges(found: DataFrame) -> DataFrame:
-    """(pattern, form, seed, n): how often a pattern stands beside an instance, counted up to a limit.
+    """(pattern, form, seed, n, times): how often a pattern stands beside an instance, n counted up to a limit.
 
-    Rows of one document are equal in all columns, so that hashing finds them without a sort.
+    Rows of one document are equal in all columns, so that hashing finds them without a sort; they
+    are one document for n, and count all for ``times``, as they do in the counts of words.
     """
-    spans = found.distinct().select(F.explode(F.concat("base", "others")).alias("s"))
+    spans = found.groupBy(*found.columns).agg(F.count("*").alias("rows")).select("rows", F.explode(F.concat("base", "others")).alias("s"))
     each = spans.select(
+        "rows",
         F.explode(F.array(F.concat(F.lit("L "), "s.left"), F.concat(F.lit("R "), "s.right"))).alias("pattern"),
         F.lower("s.form").alias("form"),
         (F.col("s.kind") < 4).alias("seed"),
     )
-    return each.groupBy("pattern", "form").agg(F.max("seed").alias("seed"), F.least(F.count("*"), F.lit(MOST_OF_ONE)).alias("n"))
+    return each.groupBy("pattern", "form").agg(F.max("seed").alias("seed"), F.least(F.count("*"), F.lit(MOST_OF_ONE)).alias("n"), F.sum("rows").alias("times"))
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    """(word, total) over all rows; words are counted where they are before anything is shuffled."""
+    word = F.explode(F.split(_flat(F.col("_text")), " +"))
+    return rows.select(word.alias("word")).groupBy(_named(F.col("word")).alias("word")).agg(F.count("*").alias("total"))
 
 
-def learn(found: DataFrame, scratch: Scratch, rounds: int = 3, min_seeds: int = 3) -> DataFrame:
-    """(pattern, confidence) after ``rounds`` rounds over the graph."""
+def learn(rows: DataFrame, found: DataFrame, scratch: Scratch, rounds: int = 3, min_seeds: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(pattern, confidence) and (form, score) of the new instances, after ``rounds`` rounds over the graph."""
     edges = scratch.save(_edges(found), "edges")
-    seeds = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"))
+    seeds = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.sum("times").alias("times")).filter((F.col("seeds") >= min_seeds) & (F.length("pattern") > 2))
+    word = F.substr("pattern", F.lit(3))
+    special = F.col("times") / F.greatest("times", F.coalesce("total", F.lit(0)))
+    seeds = scratch.save(seeds.withColumn("word", word).join(_counts(rows), "word", "left").select("pattern", special.alias("special")), "seeds")
     scores = None
     for n in range(rounds):
         scored = edges.withColumn("score", F.col("seed").cast("double")) if scores is None else (
@@ -148,26 +179,25 @@ def learn(found: DataFrame, scratch: Scratch, rounds: int = 3, min_seeds: int =
         )
         # sums of scores in millionths are whole numbers: the order of adding doesn't matter
         mean = scored.groupBy("pattern").agg((F.sum(F.round(F.col("score") * 1000000).cast("long") * F.col("n")) / F.sum("n") / 1000000).alias("mean"))
-        confidence = mean.join(seeds, "pattern").select("pattern", F.when(F.col("seeds") >= min_seeds, F.col("mean")).otherwise(0.0).alias("confidence"))
+        confidence = mean.join(seeds, "pattern", "left").select("pattern", F.coalesce(F.col("mean") * F.col("special"), F.lit(0.0)).alias("confidence"))
         confidence = scratch.save(confidence, f"patterns{n}")
-        if n + 1 < rounds:
-            new = edges.filter(~F.col("seed")).join(confidence, "pattern")
-            side = F.col("pattern").startswith("L ")
+        new = edges.filter(~F.col("seed")).join(confidence, "pattern")
+        side = F.col("pattern").startswith("L ")
 
-            def mean_of(which: Column) -> Column:
-                total = F.sum(F.when(which, F.round(F.col("confidence") * 1000000).cast("long") * F.col("n")))
-                return F.coalesce(total / F.sum(F.when(which, F.col("n"))) / 1000000, F.lit(0.0))
+        def mean_of(which: Column) -> Column:
+            total = F.sum(F.when(which, F.round(F.col("confidence") * 1000000).cast("long") * F.col("n")))
+            return F.coalesce(total / F.sum(F.when(which, F.col("n"))) / 1000000, F.lit(0.0))
 
-            scores = new.groupBy("form").agg(mean_of(side).alias("l"), mean_of(~side).alias("r")).select("form", (1 - (1 - F.col("l")) * (1 - F.col("r"))).alias("score"))
-            scores = scratch.save(scores, f"instances{n}")
-    return confidence
+        scores = new.groupBy("form").agg(mean_of(side).alias("l"), mean_of(~side).alias("r")).select("form", (1 - (1 - F.col("l")) * (1 - F.col("r"))).alias("score"))
+        scores = scratch.save(scores, f"instances{n}")
+    return confidence, scores
 
 
 def extract(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    min_digits: int = 7,
+    min_digits: int = 5,
     rounds: int = 3,
     min_seeds: int = 3,
     accept: float = 0.8,
@@ -176,12 +206,15 @@ def extract(
     scratch = Scratch(docs.sparkSession)
     rows = keyed(docs, doc_id, text)
     found = scratch.save(_found(rows, min_digits), "found")
-    sure = learn(found, scratch, rounds, min_seeds).filter(F.col("confidence") >= accept).select("pattern")
+    confidence, scores = learn(rows, found, scratch, rounds, min_seeds)
+    sure = confidence.filter(F.col("confidence") >= accept).select("pattern")
+    proven = scores.filter(F.col("score") >= accept).select("form", F.lit(True).alias("by_form"))
     places = found.select("_id", "_h", "others").distinct().select("_id", "_h", F.explode("others").alias("s"))
-    left = sure.select(F.substr("pattern", F.lit(3)).alias("left")).filter(F.col("pattern").startswith("L "))
-    right = sure.select(F.substr("pattern", F.lit(3)).alias("right")).filter(F.col("pattern").startswith("R "))
-    flat = places.select("_id", "_h", "s.start", "s.kind", "s.end", "s.left", "s.right")
-    kept = flat.join(left, "left", "left_semi").join(right, "right", "left_semi")
+    flat = places.select("_id", "_h", "s.start", "s.kind", "s.end", "s.left", "s.right", F.lower("s.form").alias("form"))
+    for which, mark in (("left", "L "), ("right", "R ")):
+        own = sure.filter(F.col("pattern").startswith(mark)).select(F.substr("pattern", F.lit(3)).alias(which), F.lit(True).alias(f"by_{which}"))
+        flat = flat.join(own, which, "left")
+    kept = flat.join(proven, "form", "left").filter(F.coalesce("by_left", "by_right", "by_form"))
     more = kept.groupBy("_id", "_h").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("more"))
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     joined = found.alias("f").join(more.alias("m"), F.expr("f._id <=> m._id and f._h = m._h"), "left")

@@ -400,3 +400,134 @@ def test_both_dictionaries_weigh(spark):
     assert a > b and d > c
     right = [(r.predicted == int(r.doc_id % 3 == 0)) for r in toxicity.score(texts(spark, rows), model).filter("held_out").collect()]
     assert len(right) > 80 and all(right)
+
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def plain_contexts(rows, min_digits=5, rounds=3, min_seeds=3, accept=0.8):
+    """Spans found by context, by a walk over the whole graph in plain Python."""
+    places = []
+    group = r"[0-9()+./-]*[0-9][0-9()+./-]*"
+    token = re.compile(rf"(?<![^{SPACES}])[^{SPACES}0-9@]*(?:[0-9][^{SPACES}@]*(?![^{SPACES}])(?: {group}(?![^{SPACES}]))*|[0-9@][^{SPACES}]*)")
+    for i, t in set(rows):
+        t = t or ""
+        base = brute_pii(t)
+        spans = [(s, e, True, k) for s, k, e in base]
+        for m in token.finditer(t):
+            digits = len(re.sub("[^0-9]", "", m.group()))
+            if ("@" in m.group() or digits >= min_digits) and not any(s < m.end() and m.start() < e for s, _, e in base):
+                spans.append((*m.span(), False, 4))
+        places.append((i, t, spans))
+    edges, at, times, words = Counter(), [], Counter(), Counter()
+    repeats = Counter((i, t or "") for i, t in rows)
+    for (_, t), n in repeats.items():
+        for w in re.split(f"[{SPACES}]+", t.strip(SPACES)):
+            words[w.lower()] += n
+    for i, t, spans in places:
+        # a kind's neighbours: the words between it and the next match of its own pattern
+        for s, e, seed, kind in spans:
+            if kind == 4:
+                cuts = [m.span() for m in token.finditer(t)]
+            else:
+                cuts = [m.span() for m in re.finditer([r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", r"[0-9](?:[\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"][kind], t)]
+            n = cuts.index((s, e))
+            before, after = t[cuts[n - 1][1] if n else 0 : s], t[e : cuts[n + 1][0] if n + 1 < len(cuts) else len(t)]
+            word = lambda x, j: (re.split(f"[{SPACES}]+", x.strip(SPACES)) or [""])[j].lower()
+            patterns = ("L " + word(before, -1), "R " + word(after, 0))
+            for p in patterns:
+                edges[p, t[s:e].lower(), seed] += 1
+                times[p] += repeats[i, t]
+            at.append((i, s, e, seed, t[s:e].lower(), patterns))
+    form_seed = defaultdict(bool)
+    n_of = Counter()
+    for (p, f, seed), n in edges.items():
+        n_of[p, f] += n
+        form_seed[p, f] |= seed
+    n_of = {k: min(n, 3) for k, n in n_of.items()}
+    score, confidence = {}, {}
+    for _ in range(rounds):
+        total, weight, seeds = Counter(), Counter(), Counter()
+        for (p, f), n in n_of.items():
+            total[p] += n * (1_000_000 if form_seed[p, f] else round(score.get(f, 0) * 1_000_000))
+            weight[p] += n
+            seeds[p] += form_seed[p, f]
+        special = lambda p: times[p] / max(times[p], words[p[2:]])
+        confidence = {p: total[p] / weight[p] / 1e6 * special(p) if seeds[p] >= min_seeds and len(p) > 2 else 0 for p in weight}
+        side = defaultdict(lambda: [0, 0, 0, 0])
+        for (p, f), n in n_of.items():
+            if not form_seed[p, f]:
+                x = side[f]
+                x[0 if p[0] == "L" else 2] += n * round(confidence[p] * 1_000_000)
+                x[1 if p[0] == "L" else 3] += n
+        score = {f: 1 - (1 - (a / b / 1e6 if b else 0)) * (1 - (c / d / 1e6 if d else 0)) for f, (a, b, c, d) in side.items()}
+    return {(i, s, e) for i, s, e, seed, f, ps in at if not seed and (max(confidence[p] for p in ps) >= accept or score.get(f, 0) >= accept)}
+
+
+def test_contexts_equal_the_plain_rounds(spark):
+    rnd = random.Random(9)
+    names = [f"user{i}@mail{i % 7}.org" for i in range(60)]
+    rows = [(i, f"{rnd.choice(['my mail:', 'write to', 'see'])} {rnd.choice(names)} {rnd.choice(['is new', 'now', 'quickly then'])}") for i in range(200)]
+    rows += [(500 + i, f"{rnd.choice(['my mail:', 'see', 'room'])} {rnd.choice(['bob@localhost', 'ann@intern', '12345', '555 123 4567', 'x99999'])} {rnd.choice(['is new', 'and more', 'now'])}") for i in range(120)]
+    rows += [(700 + i, f"call me at +49 30 {1000000 + i * 37} today") for i in range(40)]
+    # the three probes: a free right context, a number in groups, a known identifier elsewhere
+    rows += [(900, "my mail: someone@localhost quickly"), (901, "call me at 555 123 4567 today"), (902, "my mail: roe@intern is new"), (903, "unusual roe@intern place"), (904, f"{'z' * 90}1 my mail: {'y' * 500}@localhost rare")]
+    rows += [(950 + i, f"room {70000 + i} and more") for i in range(10)]
+    rows += [(960 + i, f"see {80000 + i} and more, see it, see that, see this") for i in range(60)] + rows[:30]
+    got = {(r.doc_id, s.start, s["end"]) for r in pii.extract(texts(spark, rows)).collect() for s in r.spans if s.kind == 4}
+    want = plain_contexts(rows)
+    assert got == want
+    found = {i for i, _, _ in got}
+    assert {900, 901, 902, 904} <= found and not {i for i in found if i >= 950}, "numbers that no sure context has"
+
+
+def test_long_texts_with_many_tokens(spark):
+    """100,000 tokens, half of them base spans, in one text."""
+    import time
+
+    rnd = random.Random(3)
+    hexes = " ".join("".join(rnd.choice("0123456789abcdef") for _ in range(32)) + (" x-" + "ab1" * 8 if i % 2 else "") for i in range(60000))
+    mails = " ".join(f"u{i}@x.org n{i}@h" for i in range(50000))
+    t0 = time.perf_counter()
+    got = {r.doc_id: (r.b, r.n) for r in secrets.scan(texts(spark, [(1, hexes)])).select("doc_id", F.size("base").alias("b"), F.size("spans").alias("n")).collect()}
+    assert got[1][0] == 90000
+    t1 = time.perf_counter()
+    found = pii.extract(texts(spark, [(1, mails)])).select(F.size("base").alias("b"), F.size("spans").alias("n")).collect()
+    assert found[0].b == 50000
+    t2 = time.perf_counter()
+    assert t1 - t0 < 60 and t2 - t1 < 120, (t1 - t0, t2 - t1)
+
+
+def test_battery_and_step_up_against_plain_versions():
+    rnd = random.Random(12)
+    for kind in ("hex", "base62"):
+        alphabet = secrets.ALPHABETS[kind]
+        for n in (24, 60):
+            token = "".join(rnd.choice(alphabet) for _ in range(n)) if kind == "hex" else "Zz0" + "".join(rnd.choice(alphabet) for _ in range(n))
+            enc, counts, p_chi, p_runs, p_serial = secrets.battery(token)
+            place = {c: i for i, c in enumerate(secrets.ALPHABETS[enc])}
+            x, k = [place[c] for c in token], len(place)
+            chi = sum((x.count(v) - len(x) / k) ** 2 / (len(x) / k) for v in range(k))
+            # exact shuffles and draws in place of the normal forms
+            draws = 3000
+            sims = [[rnd.randrange(k) for _ in x] for _ in range(draws)]
+            share = np.mean([sum((s.count(v) - len(x) / k) ** 2 / (len(x) / k) for v in set(s)) + (k - len(set(s))) * len(x) / k >= chi for s in sims])
+            assert abs(share - p_chi) < 0.06 or p_chi == 1.0
+            serial = lambda s: abs(sum((a - (k - 1) / 2) * (b - (k - 1) / 2) for a, b in zip(s, s[1:])))
+            assert abs(np.mean([serial(s) >= serial(x) for s in sims]) - p_serial) < 0.06
+            runs = lambda s: sum((a >= k / 2) != (b >= k / 2) for a, b in zip(s, s[1:]))
+            up = sum(v >= k / 2 for v in x)
+            order = [k - 1] * up + [0] * (len(x) - up)
+            mean, seen = 2 * up * (len(x) - up) / len(x), []
+            for _ in range(draws):
+                rnd.shuffle(order)
+                seen.append(abs(runs(order) - mean) >= abs(runs(x) - mean) - 1e-9)
+            assert abs(np.mean(seen) - p_runs) < 0.2
+    for _ in range(50):
+        ps = [(rnd.randrange(3), rnd.randrange(0, 400)) for _ in range(60)]
+        least = secrets.step_up([(c, b, n) for (c, b), n in Counter(ps).items()], 0.05)
+        for cls in range(3):
+            own = sorted(10 ** (-b * secrets.BIN) for c, b in ps if c == cls)
+            passed = [p for i, p in enumerate(own, 1) if p * len(own) <= 0.05 * i]
+            kept = [p for p in own if cls in least and p <= 10 ** (-least[cls] * secrets.BIN) * 1.0000001]
+            assert len(kept) == (own.index(max(passed)) + own.count(max(passed)) if passed else 0)
