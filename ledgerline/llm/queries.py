@@ -27,8 +27,6 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 # The rules of the url filter.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-# Hosts with a label that begins with one of these topics are listed.
-TOPICS = ("adult-", "ads-", "casino-", "cheap-", "free-", "spam-")
 
 # Factor of the nearest-neighbour search: README gives the recall and the share of products for several.
 NEAR = 6.0
@@ -98,14 +96,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = r"""
-WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+WITH p AS (SELECT page_id, regexp_extract(coalesce(html, ''), '<title>([^<]*)</title>', 1) AS title,
+                  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail FROM pages),
+h AS (SELECT page_id, title, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
 r(kind, host, path) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
 f AS (SELECT h.page_id, max({'n': length(r.host || r.path), 'rule': r.host || r.path, 'kind': r.kind}) AS fit
-      FROM h JOIN r ON starts_with(h.path, r.path) AND (h.host = r.host OR ends_with(h.host, '.' || r.host)) GROUP BY h.page_id)
+      FROM h JOIN r ON starts_with(h.path, r.path) AND (h.host = r.host OR ends_with(h.host, '.' || r.host)) GROUP BY h.page_id),
+-- hosts of whose pages a third bears titles that four hosts bear
+t AS (SELECT title FROM h WHERE title <> '' AND host <> '' GROUP BY title HAVING count(DISTINCT host) >= 4),
+l AS (SELECT host FROM h WHERE host <> '' GROUP BY host HAVING 3 * count(*) FILTER (title IN (FROM t)) >= count(*))
 SELECT h.page_id, h.host, h.path, fit.rule AS rule,
-       coalesce(fit.kind, CASE WHEN regexp_matches(h.host, '(^|\.)(adult|ads|casino|cheap|free|spam)-') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(fit.kind, CASE WHEN h.host IN (FROM l) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN f USING (page_id)
 """
 
@@ -113,9 +115,7 @@ FROM h LEFT JOIN f USING (page_id)
 @query("op4_url_cascade", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    hosts = pages.select(url_cascade.split_url(F.col("url"))[0].alias("key"))
-    listed = hosts.filter(F.exists(F.split("key", "\\."), lambda label: label.rlike(f"^({'|'.join(TOPICS)})"))).distinct()
-    return url_cascade.judge(pages, RULES, listed)
+    return url_cascade.judge(pages, RULES, url_cascade.mirrors(pages, min_hosts=4, one_in=3))
 
 
 @query("op5_contextual_pii")

@@ -6,8 +6,10 @@ nothing passes by mistake. The corpus's keys are all there is to ask, so the ans
 exact: a key is listed if the first level that refuses it is an even one. Urls are
 judged by probing bits; no join takes part.
 
-A filter is a literal of at most ``max_bytes``; a list that needs more is looked up by
-a join on the key instead (see ``judge``).
+A filter is a literal of at most ``max_bytes``. Lists that need more are split by a hash
+of the key into parts with a cascade each. Urls are then judged in one pass per part, so
+that a task never holds more than the filters of one part (rules, which come as a list
+of the driver, keep all their parts in one expression).
 
 A rule is a host and a path prefix; it fits its host and all subdomains. Of the rules
 that fit the longest wins. Without one, the list of hosts decides: listed hosts are
@@ -19,15 +21,16 @@ Only the named columns are read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm import bloom
+from ledgerline.llm.bloom import Bloom
 from ledgerline.llm.common import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITS_PER_KEY = 10
-PROBES = 5
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -40,71 +43,84 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 @dataclass
-class Level:
-    bits: bytes
-    size: int  # bits
-    seed: int
-
-    def passes(self, key: Column) -> Column:
-        out = F.lit(True)
-        for p in _places(key, self.size, self.seed):
-            byte = F.conv(F.hex(F.substr(F.lit(self.bits), F.floor(p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-            bit = F.call_function("shiftright", byte, (p % 8).cast("int"))
-            out = out & (bit.bitwiseAND(F.lit(1)) == 1)
-        return out
+class Cascade:
+    levels: list[Bloom]
 
+    def has(self, key: Column) -> Column:
+        """Whether a key of the corpus is listed."""
+        out = F.lit(len(self.levels) % 2 == 1)
+        for n in range(len(self.levels) - 1, -1, -1):
+            out = F.when(~self.levels[n].passes(key), F.lit(n % 2 == 1)).otherwise(out)
+        return out
 
-def _places(key: Column, size: int, seed: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(seed * PROBES + j), key), F.lit(size)) for j in range(PROBES)]
 
+@dataclass
+class Cascades:
+    """A cascade for each part of the keys; a key's hash names its part."""
 
-class TooLarge(ValueError):
-    """A level needs more bytes than a literal may have."""
+    parts: list[Cascade]
 
+    def part(self, key: Column) -> Column:
+        return _part(key, len(self.parts))
 
-def _level(keys: DataFrame, n: int, seed: int, max_bytes: int) -> Level:
-    size = -(-max(n, 1) * BITS_PER_KEY // 64) * 64
-    if size > max_bytes * 8:
-        raise TooLarge(f"{n} keys need {size // 8} bytes")
-    bit = keys.select(F.explode(F.array(*_places(F.col("key"), size, seed))).alias("p"))
-    whole = bit.groupBy(F.floor(F.col("p") / 8).cast("int").alias("at")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1), (F.col("p") % 8).cast("int"))).alias("byte")
-    )
-    out = bytearray(size // 8)
-    for r in whole.collect():  # at most max_bytes rows
-        out[r["at"]] = r["byte"]
-    return Level(bytes(out), size, seed)
+    def has(self, key: Column) -> Column:
+        """Whether a key of the corpus is listed, with the filters of all parts in one expression."""
+        out = self.parts[-1].has(key)
+        for n in range(len(self.parts) - 2, -1, -1):
+            out = F.when(self.part(key) == n, self.parts[n].has(key)).otherwise(out)
+        return out
 
 
-@dataclass
-class Cascade:
-    levels: list[Level]
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(0), key), F.lit(parts))
 
-    def has(self, key: Column) -> Column:
-        """Whether a key of the corpus is listed."""
-        out = F.lit(len(self.levels) % 2 == 1)
-        for n in range(len(self.levels) - 1, -1, -1):
-            out = F.when(~self.levels[n].passes(key), F.lit(n % 2 == 1)).otherwise(out)
-        return out
 
+def cascades(listed: DataFrame, universe: DataFrame, scratch: Scratch, name: str, max_bytes: int = bloom.MAX_BYTES) -> Cascades:
+    """Cascades for ``listed`` (key) over ``universe`` (key), which need not hold the listed keys.
 
-def cascade(listed: DataFrame, universe: DataFrame, scratch: Scratch, name: str, max_bytes: int = 1 << 20) -> Cascade:
-    """Levels for ``listed`` (key) over ``universe`` (key), which need not hold the listed keys."""
+    There are as many parts as keep every level within ``max_bytes``: the first level holds
+    the listed keys of its part, the second up to a fiftieth of the other keys.
+    """
     marked = listed.select("key", F.lit(True).alias("on")).union(universe.select("key", F.lit(False).alias("on")))
-    keys = scratch.save(marked.filter("key is not null").groupBy("key").agg(F.max("on").alias("on")), f"{name}0")
+    keys = scratch.save(marked.filter("key is not null").groupBy("key").agg(F.max("on").alias("on")), f"{name}-keys")
+    counts = {r["on"]: r["count"] for r in keys.groupBy("on").count().collect()}
+    most = max(counts.get(True, 0), counts.get(False, 0) // 50)
+    parts = max(1, -(-most * bloom.BITS_PER_KEY // (max_bytes * 8)))
+    made = []
+    for n in range(parts):
+        own = keys.filter(_part(F.col("key"), parts) == n) if parts > 1 else keys
+        made.append(_cascade(own, scratch, f"{name}-{n}", max_bytes))
+    return Cascades(made)
+
+
+def _cascade(keys: DataFrame, scratch: Scratch, name: str, max_bytes: int) -> Cascade:
     inside, outside = keys.filter("on"), keys.filter(~F.col("on"))
-    levels: list[Level] = []
+    levels: list[Bloom] = []
     n = inside.count()
     while n:
-        level = _level(inside, n, len(levels) + 1, max_bytes)
+        level = bloom.build(inside, n, len(levels) + 1, max_bytes)
         levels.append(level)
         # those of the other side that pass by mistake are what the next level encodes
-        wrong = scratch.save(outside.filter(level.passes(F.col("key"))), f"{name}{len(levels)}")
+        wrong = scratch.save(outside.filter(level.passes(F.col("key"))), f"{name}-{len(levels)}")
         inside, outside = wrong, inside
         n = inside.count()
     return Cascade(levels)
 
 
+def mirrors(pages: DataFrame, min_hosts: int = 4, one_in: int = 3, url: str = "url", html: str = "html") -> DataFrame:
+    """(key): hosts of whose pages at least one in ``one_in`` bears a title that ``min_hosts`` hosts bear.
+
+    Counts of a host's equal titles shuffle, not pages. Empty and missing titles are nobody's.
+    """
+    title = F.regexp_extract(F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")), "<title>([^<]*)</title>", 1)
+    cells = pages.select(split_url(F.col(f"`{url}`"))[0].alias("key"), title.alias("title")).filter("key != ''").groupBy("key", "title").count()
+    spread = cells.filter("title != ''").groupBy("title").agg(F.count("*").alias("hosts")).filter(F.col("hosts") >= min_hosts).select("title", "hosts")
+    shares = cells.join(spread, "title", "left").groupBy("key").agg(
+        F.sum(F.when(F.col("hosts").isNotNull(), F.col("count")).otherwise(0)).alias("shared"), F.sum("count").alias("n")
+    )
+    return shares.filter(F.col("shared") * one_in >= F.col("n")).select("key")
+
+
 def _candidates(host: str, path: str, lengths: list[int]) -> Column:
     """Every host suffix at a dot with every prefix of the path that has a rule's length, as (length, key)."""
     labels = F.split(host, "\\.", -1)
@@ -126,7 +142,7 @@ def judge(
     listed_hosts: DataFrame | None = None,
     page_id: str = "page_id",
     url: str = "url",
-    max_bytes: int = 1 << 20,
+    max_bytes: int = bloom.MAX_BYTES,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict).
 
@@ -148,16 +164,17 @@ def judge(
         if not own:
             continue
         keys = spark.createDataFrame([(k,) for k in own], "key string")
-        made = cascade(keys, universe, scratch, verdict, max_bytes)
+        made = cascades(keys, universe, scratch, verdict, max_bytes)
         options.append(_named(F.filter("keys", made.has), F.lit(verdict)))
     fits = F.array_max(F.concat(*options)) if options else F.lit(None).cast("struct<n: int, rule: string, verdict: string>")
     out = rows.withColumn("fit", fits)
-    bad = F.lit(False)
-    if listed_hosts is not None:
-        try:
-            bad = cascade(listed_hosts.select("key"), rows.filter("host != ''").select(F.col("host").alias("key")), scratch, "hosts", max_bytes).has(F.col("host"))
-        except TooLarge:
-            out = out.join(listed_hosts.select(F.col("key").alias("host")).distinct().withColumn("hit", F.lit(True)), "host", "left")
-            bad = F.coalesce("hit", F.lit(False))
-    verdict = F.coalesce(F.col("fit.verdict"), F.when(bad & (F.col("host") != ""), "block").otherwise("allow"))
-    return out.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"))
+    result = ["page_id", "host", "path", F.col("fit.rule").alias("rule")]
+    if listed_hosts is None:
+        return out.select(*result, F.coalesce("fit.verdict", F.lit("allow")).alias("verdict"))
+    hosts = cascades(listed_hosts, rows.filter("host != ''").select(F.col("host").alias("key")), scratch, "hosts", max_bytes)
+    passes = []
+    for n, one in enumerate(hosts.parts):
+        mine = out.filter(hosts.part(F.col("host")) == n) if len(hosts.parts) > 1 else out
+        bad = one.has(F.col("host")) & (F.col("host") != "")
+        passes.append(mine.select(*result, F.coalesce("fit.verdict", F.when(bad, "block").otherwise("allow")).alias("verdict")))
+    return reduce(DataFrame.unionByName, passes)

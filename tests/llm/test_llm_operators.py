@@ -175,27 +175,45 @@ def test_url_cascade(spark):
     pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING").withColumn("host", F.lit(0)).withColumn("key", F.lit(1))
     rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("allow", "org", "/fr/")]
     listed = spark.createDataFrame([("bad.org",), ("absent.org",)], "key STRING")
-    for size in (1 << 20, 8):
-        if size == 8:
-            rules_now, want_rule = [], None
-        else:
-            rules_now, want_rule = rules, "net/"
-        got = {r.page_id: r for r in url_cascade.judge(pages, rules_now, listed, max_bytes=size).collect()}
+    for rules_now, want_rule in ((rules, "net/"), ([], None)):
+        got = {r.page_id: r for r in url_cascade.judge(pages, rules_now, listed).collect()}
         assert got[9].verdict == "block" and got[9].rule is None and got[6].rule == want_rule
         assert got[5].verdict == "allow" and (got[1].host, got[1].path) == ("", "")
     got = url_cascade.judge(pages, rules, listed).collect()
     assert {r.page_id: r.rule for r in got}[4] == "example.net/en/" and len(got) == len(rows)
+    assert url_cascade.judge(pages.limit(0), rules, listed).count() == 0
 
 
 def test_cascade_is_exact(spark):
     from ledgerline.llm.common import Scratch
 
     universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
-    made = url_cascade.cascade(universe.filter("xxhash64(key) % 7 = 0"), universe, Scratch(spark), "t")
-    assert len(made.levels) > 1
+    made = url_cascade.cascades(universe.filter("xxhash64(key) % 7 = 0"), universe, Scratch(spark), "t")
+    assert len(made.parts) == 1 and len(made.parts[0].levels) > 1
     assert universe.filter(made.has(F.col("key")) != F.expr("xxhash64(key) % 7 = 0")).count() == 0
 
 
+def test_lists_beyond_a_filter_are_split(spark):
+    hosts = [f"h{i}.org" for i in range(300)]
+    listed = spark.createDataFrame([(h,) for i, h in enumerate(hosts) if i % 3 == 0], "key STRING")
+    rules = [("block", f"x{i}.net", "/") for i in range(40)]
+    urls = [f"http://{h}/p" for h in hosts] + [f"http://a.x{i}.net/" for i in range(60)] + [None, ""]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id BIGINT, url STRING")
+    got = url_cascade.judge(pages, rules, listed, max_bytes=48)
+    want = {i: "block" if (i < 300 and i % 3 == 0) or 300 <= i < 340 else "allow" for i in range(len(urls))}
+    assert {r.page_id: r.verdict for r in got.collect()} == want and got.count() == len(urls)
+
+
+def test_mirrors(spark):
+    page = "<html><title>{}</title>".format
+    rows = [(f"http://h{i}/", page("same")) for i in range(4)] + [("http://H0/a", page("own")), ("http://h0/b", None)]
+    rows += [("http://h1/", page(f"t{i}")) for i in range(3)] + [(f"http://g{i}/", page("two")) for i in range(3)] + [(None, page("same")), ("", None)]
+    rows += [(f"http://e{i}/", page("")) for i in range(5)]
+    pages = spark.createDataFrame(rows, "url STRING, html STRING").withColumn("title", F.lit(1)).withColumn("key", F.lit(1))
+    assert sorted(r.key for r in url_cascade.mirrors(pages).collect()) == ["h0", "h2", "h3"], "h1 has one of four, g three hosts, e no title"
+    assert url_cascade.mirrors(pages.limit(0)).count() == 0
+
+
 def brute_pii(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
