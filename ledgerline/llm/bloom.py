@@ -24,6 +24,8 @@ class Bloom:
     seed: int
 
     def passes(self, key: Column) -> Column:
+        if not self.bits:  # no keys
+            return F.lit(False)
         out = F.lit(True)
         for p in places(key, 8 * len(self.bits), self.seed):
             byte = F.conv(F.hex(F.substr(F.lit(self.bits), F.floor(p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -38,6 +40,8 @@ def places(key: Column, size: int, seed: int) -> list[Column]:
 
 def build(keys: DataFrame, n: int, seed: int, max_bytes: int = MAX_BYTES) -> Bloom:
     """The filter of ``keys``, of which there are about ``n``."""
+    if not n:
+        return Bloom(b"", seed)
     words = max(1, min(-(-n * BITS_PER_KEY // 64), max_bytes // 8))
     bit = keys.select(F.explode(F.array(*places(F.col("key"), words * 64, seed))).alias("p"))
     whole = bit.groupBy(F.floor(F.col("p") / 64).cast("int").alias("at")).agg(

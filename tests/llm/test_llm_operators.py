@@ -279,22 +279,68 @@ def test_every_letter_is_coded():
     assert len(set(toxicity.Coder().codes("insulting insulted"))) == 2, "words that share five letters"
 
 
-def test_warc(spark, tmp_path):
+@pytest.mark.parametrize("size", [1 << 20, 8])
+def test_warc(spark, tmp_path, size):
     same = "<p>é\r\n\r\nWARC/1.1\r\n</p>" * 20
-    rows = [(5, "u", same), (3, "u\nv", same), (9, None, same), (1, "x", None), (2, "x", ""), (4, "y", "small"), (6, "y", "small"), (None, "z", same), (7, "q", "w" * 300000), (7, "q", "w" * 300000)]
-    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").withColumn("digest", F.lit("x"))
-    warc.write(pages, str(tmp_path / "w"))
+    rows = [(5, "http://u/", same), (3, "u\nv", same), (9, None, same), (1, "x", None), (2, "HTTPS://x", ""), (4, "y", "small"), (6, "y", "small"), (None, "z", same), (None, "", same)]
+    rows += [(7, "http://q", "w" * 300000), (7, "http://q", "w" * 300000), (8, "q", "w" * 300000), (8, "q", "w" * 300000), (None, None, "n" * 200), (None, None, "n" * 200)]
+    rows += [(100 + i, f"http://p/{i}", f"<p>{i % 70}</p>" * 30) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").withColumn("digest", F.lit("x")).withColumn("key", F.lit("x"))
+    warc.write(pages, str(tmp_path / "w"), max_bytes=size, gzip=size == 8, per_file=50)
     got = warc.read(spark, str(tmp_path / "w")).collect()
+    first = {}
+    for i, _, h in rows:
+        if i is not None and h and len(h.encode()) >= 100:
+            first[h] = min(i, first.get(h, i))
     want = Counter()
     for i, _, h in rows:
         b = (h or "").encode()
-        revisit = h == same and i != 3
-        want[i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None] += 1
+        revisit = h in first and i != first[h]
+        want[i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if revisit else "response", first[h] if revisit else None] += 1
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+    assert Counter((r.page_id, r.url) for r in got) == Counter((i, u.replace("\n", " ") if u else None) for i, u, _ in rows)
     warc.write(pages.limit(0), str(tmp_path / "e"))
     assert warc.read(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_warc_records(spark, tmp_path):
+    body = "<p>text</p>" * 20
+    rows = [(1, "http://a/", body), (1, "http://a/", body), (2, "http://b/", body), (2, "http://b/", body), (3, None, "short")]
+    warc.write(spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING"), str(tmp_path / "w"), date="2026-01-02T03:04:05Z")
+    files = [f.read_bytes() for f in (tmp_path / "w").glob("part-*")]
+    found = [r for f in files for r in warc.parse(f)]
+    ids = [h["warc-record-id"] for h, _ in found]
+    assert len(set(ids)) == len(rows) and all(re.fullmatch("<urn:uuid:[0-9a-f]{8}-[0-9a-f]{4}-8[0-9a-f]{3}-8[0-9a-f]{3}-[0-9a-f]{12}>", i) for i in ids)
+    assert {h["warc-date"] for h, _ in found} == {"2026-01-02T03:04:05Z"}
+    for head, block in found:
+        if head["warc-type"] == "revisit":
+            assert head["warc-refers-to"] in ids and block == b"" and head["page-id"] == "2"
+        elif head["page-id"] == "1":
+            assert block.startswith(b"HTTP/1.1 200 OK\r\n") and block.endswith(b"\r\n\r\n" + body.encode())
+        else:
+            assert block == b"short" and head["warc-target-uri"] == "urn:ledgerline:page:3"
+    # an uncompressed record can be read by its offset alone
+    at = files[0].rindex(b"WARC/1.1\r\n")
+    assert next(warc.parse(files[0][at:]))[0]["warc-record-id"] in ids
+
+
+def test_warc_payloads_stay(spark):
+    """Of rows whose filters are not full, hardly any payload is held for the join."""
+    rows = spark.range(4000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.concat(F.lit("page "), (F.col("id") % 3000).cast("string")), 20).alias("html"))
+    saved = {}
+
+    class Watched(warc.Scratch):
+        def save(self, df, name):
+            saved[name] = super().save(df, name)
+            return saved[name]
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(warc, "Scratch", Watched)
+        out = warc.resolve(rows)
+        assert out.filter("record_type = 'revisit' and refers_to = page_id - 3000").count() == 1000 and out.count() == 4000
+        assert saved["held"].count() < 80 and "payload" not in saved["marked"].columns
+
+
 def test_vantage_points(spark):
     rnd = np.random.default_rng(7)
     vectors = {i: rnd.normal(size=8).astype("f4").tolist() for i in range(600)}
