@@ -23,20 +23,21 @@ from ledgerline.operators.terms import pct_band
 CASH, ACCRUAL = "caixa", "competencia"
 
 
-def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
-    """regime, mes, entrada, saida, vencido_receber.
-
-    Titles are first reduced to cells of (cash month, due month, side, overdue);
-    only these few cells are counted twice, once per regime.
-    """
+def month_cells(ledger: DataFrame, *keys: str, de=None, ate=None) -> DataFrame:
+    """Cells of (cash month, due month, side, overdue) and of further ``keys`` of the ledger."""
     due = F.col("data_vencimento")
-    g = cells(
+    return cells(
         with_cash_date(ledger),
         F.when(in_period(F.col("data"), de, ate), D.month_start("data")).alias("_cash"),
         F.when(in_period(due, de, ate) & not_overdue(), D.month_start(due)).alias("_acc"),
         "tipo",
         overdue().alias("_late"),
+        *keys,
     )
+
+
+def months_of(g: DataFrame) -> DataFrame:
+    """regime, mes, entrada, saida, vencido_receber of ``month_cells``, which count once per regime."""
     tag = lambda name, m: F.struct(F.lit(name).alias("regime"), F.col(m).alias("_m"))
     both = g.select("*", F.explode(F.array(tag(CASH, "_cash"), tag(ACCRUAL, "_acc"))).alias("_h"))
     g = (
@@ -47,6 +48,25 @@ def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
     return g.select("regime", D.month_text("_m").alias("mes"), "entrada", "saida", "vencido_receber")
 
 
+def projects_of(g: DataFrame) -> DataFrame:
+    """projeto_id, entrada, saida of ``month_cells`` by project; both null for titles without a project.
+
+    No filter on the project, which would reach the ledger: so months and projects share the cells' exchange.
+    """
+    totals = g.groupBy("projeto_id").agg(*in_out_cells())
+    named = lambda c: F.when(F.col("projeto_id") != 0, F.col(c)).alias(c)
+    return totals.select("projeto_id", named("entrada"), named("saida"))
+
+
+def regime_months(ledger: DataFrame, de=None, ate=None) -> DataFrame:
+    """regime, mes, entrada, saida, vencido_receber.
+
+    Titles are first reduced to cells of (cash month, due month, side, overdue);
+    only these few cells are counted twice, once per regime.
+    """
+    return months_of(month_cells(ledger, de=de, ate=ate))
+
+
 def _month_array(regime: str) -> Column:
     row = F.struct("mes", "entrada", "saida", "vencido_receber")
     return F.array_sort(F.collect_list(F.when(F.col("regime") == regime, row)))

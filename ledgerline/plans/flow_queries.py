@@ -705,8 +705,8 @@ def _(s, sf):
     return B.forecast(flows.period_kpis(cash_rows(I.ledger(s, sf), DE, ATE)), I.balances(s, sf))
 
 
-def _values(s, sf):
-    months = overview.regime_months(I.ledger(s, sf))
+def _values(s, sf, months=None):
+    months = overview.regime_months(I.ledger(s, sf)) if months is None else months
     return overview.overview_values(months, I.balances(s, sf), I.latest_balances(s, sf), I.AS_OF)
 
 
@@ -772,5 +772,5 @@ def _(s, sf):
     ),
 )
 def _(s, sf):
-    projects = flows.in_out_by_project(cash_rows(I.ledger(s, sf, "project", "direct")))
-    return overview.alerts(_values(s, sf), projects, I.budget(s, sf))
+    g = overview.month_cells(I.ledger(s, sf, "project"), "projeto_id")
+    return overview.alerts(_values(s, sf, overview.months_of(g)), overview.projects_of(g), I.budget(s, sf))

@@ -52,3 +52,10 @@ def test_questions_are_looked_up_by_equality(spark):
     df = search.resolve_questions(I.names(spark, "/root/testdata/sf0.001"), I.questions(spark, "/root/testdata/sf0.001"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_alerts_derive_the_ledger_once(spark):
+    """Months and projects share the exchange of one cell table."""
+    df = entry.queries()["alerts"](spark, SF)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
