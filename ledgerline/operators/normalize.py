@@ -1,7 +1,8 @@
 """Landed records to clean tables: titles, movements, categories, clients, orders, balances.
 
 Lookups are left joins without hints: Spark broadcasts a lookup whose size is
-below the threshold and shuffles (with skew splitting) beyond it.
+below the threshold and shuffles (with skew splitting) beyond it. Payments and
+clients of the ledger are always shuffled (see ``build_ledger``).
 """
 
 from __future__ import annotations
@@ -130,30 +131,33 @@ def build_ledger(
     """
     ignored = tuple(ignored)
     titles = type_titles(receivables, K.INFLOW, ignored).unionByName(type_titles(payables, K.OUTFLOW, ignored))
+    # Titles move twice, by id and by client: what other columns tell is left behind.
+    document = T.is_direct_outflow("numero_documento", "_fiscal")
+    titles = titles.withColumns({"_entrada": F.col("tipo") == K.INFLOW, "_direto": document}).drop("tipo", "data_previsao", "_fiscal")
     cat = categories.select(F.col("codigo").alias("categoria_codigo"), F.col("nome").alias("_categoria"))
     prj = projects.select(F.col("id").alias("_prj"), F.col("nome").alias("_projeto"))
     cli = clients.select(F.col("id").alias("_cli"), F.col("nome").alias("_cliente"))
-    # The title id is the only lookup as large as the ledger itself, so it goes first:
-    # one co-partitioned shuffle of narrow rows.
+    # Payments and clients grow with the ledger: they meet the titles by shuffles at any size and never pass
+    # the driver. The short lists come last; their sizes are known by then, and names don't move with the titles.
     j = (
-        titles.join(payments, "id", "left")
+        titles.join(payments.hint("merge"), "id", "left")
+        .join(cli.hint("merge"), F.coalesce("cliente_id", _nowhere("id")) == F.col("_cli"), "left")
         .join(cat, "categoria_codigo", "left")
         .join(prj, F.coalesce("projeto_id", _nowhere("id")) == F.col("_prj"), "left")
-        .join(cli, F.coalesce("cliente_id", _nowhere("id")) == F.col("_cli"), "left")
     )
     name = F.coalesce("_categoria", "categoria_codigo")
-    inflow = F.col("tipo") == K.INFLOW
-    direct = F.when(inflow, T.is_direct_inflow(name)).otherwise(T.is_direct_outflow("numero_documento", "_fiscal"))
+    inflow = F.col("_entrada")
+    direct = F.when(inflow, T.is_direct_inflow(name)).otherwise(F.col("_direto"))
     paid = F.when(F.col("status").isin(*K.SETTLED), F.coalesce("data_movimento", "_previsao"))
     out = j.select(
         "id",
-        "tipo",
+        F.when(inflow, K.INFLOW).otherwise(K.OUTFLOW).alias("tipo"),
         "valor",
         "status",
         "data_vencimento",
         "data_emissao",
         paid.alias("data_pagamento"),
-        "data_previsao",
+        F.coalesce("_previsao", "data_vencimento").alias("data_previsao"),
         "numero_documento",
         "categoria_codigo",
         name.alias("categoria_nome"),

@@ -1,15 +1,17 @@
 """Shape of the physical plans."""
 
+import datetime as dt
 import re
 
 import pytest
 
 import __spark_entry__ as entry
-from ledgerline.operators import flows, terms
+from ledgerline.operators import flows, normalize, terms
 from ledgerline.operators.rows import cash_rows
 from ledgerline.plans import inputs as I
 
 SF = "/root/testdata/sf0.001"
+DAY = dt.date
 
 
 def plan(df):
@@ -59,3 +61,58 @@ def test_alerts_derive_the_ledger_once(spark):
     df = entry.queries()["alerts"](spark, SF)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def landed(spark, n):
+    """Receivables and payables of n rows each, their lookups and payments; a title without an id and one without a client."""
+    cols = "codigo_lancamento BIGINT, valor_documento DOUBLE, status_titulo STRING, data_vencimento STRING, data_emissao STRING, data_previsao STRING, numero_documento STRING"
+    rest = ", codigo_categoria STRING, codigo_projeto BIGINT, codigo_cliente_fornecedor BIGINT, id_conta_corrente BIGINT"
+    row = lambda i, *doc: (i, 10.0, "Pago", "05/01/2026", "01/01/2026", "" if i == 1 else "06/01/2026", *doc, "1.1", 7, i, 1)
+    receivables = [row(i, "fd") for i in range(n)] + [(None, *row(1, "x")[1:]), (*row(2, "x")[:9], None, 1)]
+    payables = [row(-i - 1, "x", "FD 1" if i % 2 else None) for i in range(n)]
+    return (
+        spark.createDataFrame(receivables, cols + rest),
+        spark.createDataFrame(payables, cols + ", numero_documento_fiscal STRING" + rest),
+        spark.createDataFrame([("1.1", "Obra", "1.1")], "codigo STRING, nome STRING, grupo STRING"),
+        spark.createDataFrame([(7, "P7")], "id BIGINT, nome STRING"),
+        spark.createDataFrame([(i, f"C{i}") for i in range(1, n)], "id BIGINT, nome STRING"),
+        spark.createDataFrame([(2, DAY(2026, 1, 9)), (-1, DAY(2026, 1, 8))], "id BIGINT, data_movimento DATE"),
+    )
+
+
+def test_payments_and_clients_never_pass_the_driver(spark):
+    """What the ledger moves grows no faster than its input: however short they are, payments and clients meet the titles by a shuffle."""
+    df = normalize.build_ledger(*landed(spark, 4), ())
+    df.collect()
+    text = plan(df).partition("Initial Plan")[0]
+    assert "Final Plan" in text
+    joins = {key: kind for kind, key in re.findall(r"(\w+Join) \[[^\n]*?\], \[(\w+)#\d+L?\], LeftOuter", text)}
+    assert joins == {"id": "SortMergeJoin", "_cli": "SortMergeJoin", "categoria_codigo": "BroadcastHashJoin", "_prj": "BroadcastHashJoin"}
+    # neither names nor what other columns tell move with the titles
+    moved = re.findall(r"Exchange hashpartitioning\([^\n]*\n[^\n]*Project \[([^\n]*valor#[^\n]*)\]|Exchange hashpartitioning\([^\n]*\n[^\n]*Union\n[^\n]*Project \[([^\n]*valor#[^\n]*)\]", text)
+    assert len(moved) == 2
+    for columns in map("".join, moved):
+        assert not {"tipo", "data_previsao", "_categoria", "_projeto"} & set(re.findall(r"(\w+)#\d+L?(?:,|$)", columns)), columns
+
+
+def test_ledger_after_two_shuffles(spark):
+    got = normalize.build_ledger(*landed(spark, 4), ()).select(
+        "id", "tipo", "data_pagamento", "data_previsao", "cliente_nome", "categoria_nome", "projeto_nome", "is_faturamento_direto"
+    )
+    sixth, fifth = DAY(2026, 1, 6), DAY(2026, 1, 5)
+    tail = ("Obra", "P7")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+        [
+            (0, "entrada", sixth, sixth, "", *tail, False),
+            (1, "entrada", None, fifth, "C1", *tail, False),
+            (2, "entrada", DAY(2026, 1, 9), sixth, "C2", *tail, False),
+            (2, "entrada", DAY(2026, 1, 9), sixth, "", *tail, False),
+            (3, "entrada", sixth, sixth, "C3", *tail, False),
+            (None, "entrada", None, fifth, "C1", *tail, False),
+            (-1, "saida", DAY(2026, 1, 8), sixth, "", *tail, False),
+            (-2, "saida", sixth, sixth, "", *tail, True),
+            (-3, "saida", sixth, sixth, "", *tail, False),
+            (-4, "saida", sixth, sixth, "", *tail, True),
+        ],
+        key=repr,
+    )
